@@ -24,6 +24,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table that comes in fewer splits than there are cores is spread over the cores.
+
+    Large tables have many splits and are read as they are, without this shuffle.
+    """
+    rows = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
+def _padded(column: str, width: int) -> Column:
+    """Zero-padded number; longer numbers are kept whole."""
+    text = F.col(column).cast("string")
+    return F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text)
+
+
 def _stamp(column: str) -> Column:
     return F.col(column).cast("timestamp")
 
@@ -38,7 +54,7 @@ def prices(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -
     The lookups are left joins on unique keys, so one whose columns are not asked for is left out.
     """
     wanted = columns or RAW_PRICE.fieldNames()
-    rows = table(spark, sf_dir, "lineitem").join(
+    rows = spread_table(spark, sf_dir, "lineitem").join(
         table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"),
         "l_suppkey",
         "left",
@@ -63,7 +79,7 @@ def prices(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -
     rows = rows.withColumns(
         {
             "num_reshet": F.col("s_nationkey").cast("string"),
-            "num_snif": F.format_string("%06d", "l_suppkey"),
+            "num_snif": _padded("l_suppkey", 6),
             "file_date": file_date,
             "run_time": F.timestamp_add("HOUR", F.lit(20), _stamp("l_shipdate")),
         }
@@ -135,7 +151,7 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.lit("2001-01-01 06:00:00").alias("stamp"), later.alias("address")),
     )
     zipcode = F.when(F.col("s_acctbal") < 2500, "unknown").when(
-        F.col("s_acctbal") >= 4000, F.format_string("%05d", "s_suppkey")
+        F.col("s_acctbal") >= 4000, _padded("s_suppkey", 5)
     )
     rows = listed.join(nation, "s_nationkey", "left").withColumn("d", F.explode(deliveries))
     stamp = F.col("d.stamp").cast("timestamp")
@@ -159,7 +175,7 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price observations: one per event, several per entity and day."""
     chain = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(n)) for t, n in OBS_CHAINS.items()])
-    return table(spark, sf_dir, "events").select(
+    return spread_table(spark, sf_dir, "events").select(
         "event_id",
         F.col("user_id").alias("itemcode"),
         F.concat(F.lit("item-"), F.col("event_id").cast("string")).alias("itemname"),
@@ -167,7 +183,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         _stamp("ts").alias("file_date"),
         chain.alias("num_reshet"),
         F.lit(1).alias("num_snif"),
-        F.concat(F.lit("PriceFull"), chain.cast("string"), F.lit("-1-"), F.format_string("%012d", "event_id")).alias(
+        F.concat(F.lit("PriceFull"), chain.cast("string"), F.lit("-1-"), _padded("event_id", 12)).alias(
             "file_name"
         ),
         F.col("value"),
@@ -176,7 +192,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A four-partition message log with the events' own JSON as values."""
-    return table(spark, sf_dir, "events").select(
+    return spread_table(spark, sf_dir, "events").select(
         F.col("props").alias("value"),
         F.lit("prices").alias("topic"),
         (F.col("event_id") % 4).cast("int").alias("partition"),
@@ -190,7 +206,7 @@ def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = F.when(kind == "signup", F.lit("n/a")).otherwise(F.col("value").cast(PRICE).cast("string"))
     item = F.when(kind != "view", F.col("user_id").cast("string"))
     value = F.to_json(F.struct(item.alias("itemcode"), price.alias("itemprice")))
-    return table(spark, sf_dir, "events").select(
+    return spread_table(spark, sf_dir, "events").select(
         F.when(kind == "error", value.substr(F.lit(1), F.length(value) - 1)).otherwise(value).alias("value"),
         F.lit("prices").alias("topic"),
         (F.col("event_id") % 4).cast("int").alias("partition"),
