@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+REPEATED_BYTES = 256 * 1024**3
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -18,23 +18,26 @@ def measured_bytes(df: DataFrame) -> int:
     return df.select(reduce(add, widths).alias("w")).agg(F.sum("w")).first()[0] or 0
 
 
+def salt_count(facts: DataFrame, dim_bytes: int) -> int:
+    """One salt per shuffle partition, as long as the repeated dimension stays affordable."""
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, min(partitions, REPEATED_BYTES // max(dim_bytes, 1)))
+
+
 def attach(
-    facts: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    spread: list[str],
-    max_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
+    facts: DataFrame, dim: DataFrame, on: list[str], spread: list[str], max_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Left join ``facts`` to ``dim`` on equal-named keys.
 
     A dimension is broadcast only after its size was measured. Beyond the bound, the rows of one
-    key (a chain may hold a third of all prices) are spread over ``salts`` join partitions: the
-    salt is a hash of the ``spread`` columns, so a re-run task repeats it, and the dimension is
-    repeated once per salt. Each fact row meets each dimension row exactly once either way.
+    key (a chain may hold a third of all prices) are spread over many join partitions: the salt is
+    a hash of the ``spread`` columns, so a re-run task repeats it, and the dimension is repeated
+    once per salt. Each fact row meets each of its dimension rows exactly once either way.
     """
-    if measured_bytes(dim) <= max_bytes:
+    size = measured_bytes(dim)
+    if size <= max_bytes:
         return facts.join(F.broadcast(dim), on, "left")
+    salts = salt_count(facts, size)
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [*on, "_salt"], "left").drop("_salt")

@@ -66,10 +66,7 @@ def history_violations(history: DataFrame) -> DataFrame:
 
 
 def batch_metrics(prices: DataFrame) -> DataFrame:
-    """Row, item, store and file counts of a batch.
-
-    Distinct counts go through one distinct pre-aggregation per column, never through a full sort.
-    """
+    """Row and file counts of a batch, and the time span it covers."""
     return prices.agg(
         F.count("*").alias("n_rows"),
         F.countDistinct("file_name").alias("n_files"),

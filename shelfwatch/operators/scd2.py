@@ -6,15 +6,19 @@ item name is the one first seen for the entity, also on later versions.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwatch.operators.dedup import latest_per, latest_per_day
 from shelfwatch.functions.casts import convert_columns
 from shelfwatch.functions.filenames import FULL_PREFIX
+from shelfwatch.operators.dedup import latest_per, latest_per_day
 from shelfwatch.sources.schemas import ENTITY, SCD
 
 OBSERVED_TYPES = {"itemcode": "bigint", "itemprice": "price", "num_reshet": "bigint", "num_snif": "int"}
+_REQUIRED = [*ENTITY, "file_date"]
 DAILY = [*ENTITY, "itemname", "itemprice", "file_date", "observed_at"]
 
 
@@ -24,6 +28,13 @@ def full_files(prices: DataFrame, prefix: str = FULL_PREFIX, chain: str | None =
     return kept if chain is None else kept.filter(F.col("num_reshet") == chain)
 
 
+def rejected_observations(prices: DataFrame) -> DataFrame:
+    """The rows ``daily_observations`` cannot place: no readable key or no date."""
+    typed = convert_columns(prices.select("*", F.struct("*").alias("_raw")), OBSERVED_TYPES)
+    complete = reduce(and_, [F.col(c).isNotNull() for c in _REQUIRED])
+    return typed.filter(~complete).select("_raw.*")
+
+
 def daily_observations(prices: DataFrame) -> DataFrame:
     """Raw prices to at most one typed observation per entity and day.
 
@@ -31,7 +42,7 @@ def daily_observations(prices: DataFrame) -> DataFrame:
     complete key would all meet in one group and can never match; they belong in quarantine.
     The day's latest record decides, and is left out if it carries no readable price.
     """
-    typed = convert_columns(prices, OBSERVED_TYPES).dropna(subset=[*ENTITY, "file_date"])
+    typed = convert_columns(prices, OBSERVED_TYPES).dropna(subset=_REQUIRED)
     return (
         latest_per_day(typed)
         .filter(F.col("itemprice").isNotNull())

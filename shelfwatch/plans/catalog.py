@@ -22,6 +22,7 @@ from shelfwatch.sources.schemas import (
     ENTITY,
     PRICE_TAGS,
     RAW_PRICE,
+    RAW_STORE,
     STORE_TAGS,
     TYPED_FACT,
     TYPED_PRICE,
@@ -125,6 +126,14 @@ def json_encode(spark, sf):
     return messages.encode(fixtures.prices(spark, sf, columns))
 
 
+@query
+def backfill_messages(spark, sf):
+    """Landed store files published again, under the stores' own schema."""
+    path = fresh_dir(spark, "landed")
+    tables.write_partitioned(fixtures.stores(spark, sf), path, ["num_reshet"])
+    return ingest.republish(spark, path, RAW_STORE)
+
+
 @query
 def json_decode(spark, sf):
     return messages.decode(fixtures.log_messages(spark, sf), T.StructType([T.StructField("k", T.LongType())]))
@@ -556,7 +565,8 @@ def stream_dedup(spark, sf):
     out = fresh_dir(spark, "unique")
     first, second = _halves(fixtures.observation_records(spark, sf))
     waves = [_price_log(first.union(first)), _price_log(second.union(first))]
-    _run_waves(spark, waves, {"unique": landing.unique_sink(RAW_PRICE, ["file_name", "itemcode"], out)})
+    sink = landing.unique_sink(RAW_PRICE, ["file_name", "itemcode"], out, fresh_dir(spark, "rejected"))
+    _run_waves(spark, waves, {"unique": sink})
     return spark.read.parquet(out).select("file_name", "itemcode", "itemprice", "num_reshet", "file_date")
 
 

@@ -214,6 +214,12 @@ ORACLES: dict[str, str] = {
            || '","allowdiscount":"' || allowdiscount || '","file_name":"' || file_name || '","num_reshet":"' || num_reshet
            || '","num_snif":"' || num_snif || '","file_date":"' || strftime(file_date, '%Y-%m-%dT%H:%M:%S.000Z') || '"}' AS value
          FROM prices""",
+    "backfill_messages": _with(STORES)
+    + """SELECT '{"storeid":"' || storeid || '","storetype":"' || storetype || '","storename":"' || storename || '"'
+           || coalesce(',"address":"' || address || '"', '') || ',"city":"' || city || '"'
+           || coalesce(',"zipcode":"' || zipcode || '"', '') || ',"file_name":"' || file_name || '","num_reshet":"' || num_reshet
+           || '","file_date":"' || strftime(file_date, '%Y-%m-%dT%H:%M:%S.000Z')
+           || '","run_time":"' || strftime(run_time, '%Y-%m-%dT%H:%M:%S.000Z') || '"}' AS value FROM stores""",
     "json_decode": """SELECT TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, 'prices' AS topic,
            CAST(event_id % 4 AS INTEGER) AS "partition", event_id AS "offset" FROM events""",
     "filename_attrs": _with(PRICES, STORES, _NAMES)

@@ -7,6 +7,7 @@ Layout under the root, each directory written by exactly one batch and never cha
 * ``versions/IsActive=0/batch=N``   versions the batch closed
 * ``rebuilt/batch=N``               entities the batch rebuilt because late observations touched
   them; their closed versions from earlier batches no longer count
+* ``rejected/batch=N``              rows without a readable key or date, as they came
 
 An ordinary batch costs as much as the active versions and the batch itself, however long the
 history is. Only late observations make it read the log, and only for the entities they touch.
@@ -83,7 +84,9 @@ def history_sink(schema: T.StructType, root: str, chain: str | None = None) -> S
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prices = decode(batch, schema, keep=[])
-        observed = scd2.daily_observations(scd2.full_files(prices, chain=chain))
+        chosen = scd2.full_files(prices, chain=chain)
+        write_once(scd2.rejected_observations(chosen), f"{root}/rejected/batch={batch_id}")
+        observed = scd2.daily_observations(chosen)
         write_partitioned(
             observed.select(*[f.name for f in _LOG if f.name != "batch"]).withColumn("batch", F.lit(batch_id)),
             f"{root}/log",
