@@ -19,7 +19,7 @@ from shelfwatch.sources.schemas import ENTITY, SCD
 
 OBSERVED_TYPES = {"itemcode": "bigint", "itemprice": "price", "num_reshet": "bigint", "num_snif": "int"}
 _REQUIRED = [*ENTITY, "file_date"]
-DAILY = [*ENTITY, "itemname", "itemprice", "file_date", "observed_at"]
+DAILY = [*ENTITY, "itemname", "itemprice", "file_date", "observed_at", "file_name"]
 
 
 def full_files(prices: DataFrame, prefix: str = FULL_PREFIX, chain: str | None = None) -> DataFrame:
@@ -35,23 +35,31 @@ def rejected_observations(prices: DataFrame) -> DataFrame:
     return typed.filter(~complete).select("_raw.*")
 
 
-def daily_observations(prices: DataFrame) -> DataFrame:
-    """Raw prices to at most one typed observation per entity and day.
+def last_observations(prices: DataFrame) -> DataFrame:
+    """Raw prices to the last typed observation per entity and day, readable price or not.
 
     Keys are typed before the rows are compared, so '07' and '7' are one store. Rows without a
-    complete key would all meet in one group and can never match; they belong in quarantine.
-    The day's latest record decides, and is left out if it carries no readable price.
+    complete key would all meet in one group and can never match; see ``rejected_observations``.
     """
     typed = convert_columns(prices, OBSERVED_TYPES).dropna(subset=_REQUIRED)
     return (
         latest_per_day(typed)
-        .filter(F.col("itemprice").isNotNull())
         .withColumn("observed_at", F.col("file_date"))
         .withColumn("file_date", F.col("file_day"))
         .select(*DAILY)
     )
 
 
+def priced(daily: DataFrame) -> DataFrame:
+    """The day's last observation decides: without a readable price the day tells nothing."""
+    return daily.filter(F.col("itemprice").isNotNull())
+
+
+def daily_observations(prices: DataFrame) -> DataFrame:
+    """At most one priced observation per entity and day."""
+    return priced(last_observations(prices))
+
+
 def build_versions(daily: DataFrame) -> DataFrame:
     """History from daily observations in one pass, whatever order they arrived in.
 
@@ -86,6 +94,9 @@ def closed(history: DataFrame) -> DataFrame:
     return history.filter(F.col("IsActive") == 0)
 
 
+LATE = "an observation is not newer than the active version; use rebuild_entities"
+
+
 def _one_per_entity(batch: DataFrame) -> DataFrame:
     """The batch with its rows as a struct; the job fails if an entity occurs twice.
 
@@ -109,9 +120,11 @@ def classify(history: DataFrame, batch: DataFrame) -> DataFrame:
     old = current(history).select(
         *ENTITY, F.struct("itemname", "itemprice", "StartDate", "EndDate", "IsActive").alias("o")
     )
+    late = F.col("n.file_date") <= F.col("o.StartDate")
     action = (
         F.when(F.col("o").isNull(), "NEW")
         .when(F.col("n").isNull(), "OLD")
+        .when((F.col("n.itemprice") != F.col("o.itemprice")) & late, F.raise_error(F.lit(LATE)))
         .when(F.col("n.itemprice") != F.col("o.itemprice"), "UPDATE")
         .otherwise("NO_CHANGE")
     )
@@ -158,20 +171,39 @@ def advance(active: DataFrame, daily: DataFrame) -> DataFrame:
 
     An active version stands for the whole past of its entity: taken as an observation on its
     start day, it makes the one-pass build continue where it ended. Closed versions are not read.
+    The job fails if an observation would change something before or on that day. The check looks
+    at the same window groups as the build and adds no shuffle.
     """
+    columns = [*ENTITY, "itemname", "itemprice", "file_date"]
     seeds = active.select(*ENTITY, "itemname", "itemprice", F.col("StartDate").alias("file_date"))
-    return build_versions(seeds.unionByName(daily.select(*seeds.columns)))
+    both = seeds.withColumn("_seed", F.struct("file_date", "itemprice")).unionByName(
+        daily.select(*columns), allowMissingColumns=True
+    )
+    # Ordered like the build's windows, so that one sort serves all of them.
+    whole = Window.partitionBy(*ENTITY).orderBy("file_date").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
+    known = both.withColumn("_known", F.max("_seed").over(whole))
+    late = (F.col("file_date") < F.col("_known.file_date")) | (
+        (F.col("file_date") == F.col("_known.file_date")) & (F.col("itemprice") != F.col("_known.itemprice"))
+    )
+    checked = known.filter(F.when(late, F.raise_error(F.lit(LATE)).cast("boolean")).otherwise(True))
+    return build_versions(checked.select(*columns))
 
 
 def merge_batch(history: DataFrame, daily: DataFrame) -> DataFrame:
-    """History after a batch of one or more days, all later than what is already known."""
+    """History after a batch of one or more days, all later than what is already known.
+
+    The history does not tell when an unchanged price was last seen. Where deliveries can come out
+    of order, keep a log and use ``rebuild_entities``, or the streaming job, which does both.
+    """
     return closed(history).select(*SCD).unionByName(advance(current(history), daily))
 
 
 def last_known_per_day(log: DataFrame) -> DataFrame:
-    """Collapse a log of daily observations that several batches contributed to."""
-    order = [F.desc("observed_at"), F.desc("itemprice"), F.desc("itemname")]
-    return latest_per(log, [*ENTITY, "file_date"], order)
+    """Collapse a log of last observations that several batches contributed to."""
+    order = [F.desc("observed_at"), F.desc("file_name"), F.desc("itemprice"), F.desc("itemname")]
+    return priced(latest_per(log, [*ENTITY, "file_date"], order))
 
 
 def rebuild_entities(history: DataFrame, log: DataFrame, late: DataFrame) -> DataFrame:

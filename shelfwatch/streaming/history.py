@@ -2,7 +2,7 @@
 
 Layout under the root, each directory written by exactly one batch and never changed after:
 
-* ``log/batch=N/file_date=D``       daily observations of the batch
+* ``log/batch=N/file_date=D``       last observation per entity and day of the batch
 * ``versions/IsActive=1/batch=N``   all active versions after the batch (one row per entity)
 * ``versions/IsActive=0/batch=N``   versions the batch closed
 * ``rebuilt/batch=N``               entities the batch rebuilt because late observations touched
@@ -37,6 +37,7 @@ _LOG = T.StructType(
         T.StructField("itemname", T.StringType()),
         T.StructField("itemprice", PRICE),
         T.StructField("observed_at", T.TimestampType()),
+        T.StructField("file_name", T.StringType()),
         T.StructField("file_date", T.DateType()),
         _BATCH,
     ]
@@ -86,7 +87,7 @@ def history_sink(schema: T.StructType, root: str, chain: str | None = None) -> S
         prices = decode(batch, schema, keep=[])
         chosen = scd2.full_files(prices, chain=chain)
         write_once(scd2.rejected_observations(chosen), f"{root}/rejected/batch={batch_id}")
-        observed = scd2.daily_observations(chosen)
+        observed = scd2.last_observations(chosen)
         write_partitioned(
             observed.select(*[f.name for f in _LOG if f.name != "batch"]).withColumn("batch", F.lit(batch_id)),
             f"{root}/log",
@@ -109,11 +110,12 @@ def history_sink(schema: T.StructType, root: str, chain: str | None = None) -> S
             (F.col("IsActive") == 1) & (F.col("batch") == batch_id - 1)
         )
         if touched.isEmpty():
-            after = scd2.advance(active, daily)
+            after = scd2.advance(active, scd2.priced(daily))
         else:
             evidence = log.filter(F.col("batch") <= batch_id).join(touched, ENTITY, "left_semi")
             after = scd2.advance(
-                active.join(touched, ENTITY, "left_anti"), daily.join(touched, ENTITY, "left_anti")
+                active.join(touched, ENTITY, "left_anti"),
+                scd2.priced(daily).join(touched, ENTITY, "left_anti"),
             ).unionByName(scd2.build_versions(scd2.last_known_per_day(evidence)))
         write_partitioned(
             after.withColumn("batch", F.lit(batch_id)), f"{root}/versions", ["IsActive", "batch"], gather=False

@@ -22,6 +22,7 @@ DAILY = T.StructType(
         T.StructField("itemprice", PRICE),
         T.StructField("file_date", T.DateType()),
         T.StructField("observed_at", T.TimestampType()),
+        T.StructField("file_name", T.StringType()),
     ]
 )
 
@@ -30,7 +31,7 @@ def observed(spark, given):
     """(item, day number, price) or (item, day number, price, name) to daily observations."""
     made = []
     for item, n, price, *name in given:
-        made.append((item, 7, 1, name[0] if name else f"i{item}-{n}", Decimal(price), day(n), stamp(n)))
+        made.append((item, 7, 1, name[0] if name else f"i{item}-{n}", Decimal(price), day(n), stamp(n), "f"))
     return spark.createDataFrame(made, DAILY).repartition(3)
 
 
@@ -116,6 +117,17 @@ def test_merging_batches_of_several_days(spark, seed):
     assert rows(again, *SCD) == brute_force(given)
 
 
+def test_late_observations_are_refused_where_they_cannot_be_placed(spark):
+    before = scd2.build_versions(observed(spark, [(1, 0, "5"), (1, 5, "6"), (2, 0, "5")]))
+    for late in ((1, 3, "7"), (1, 5, "7")):
+        for step in (scd2.apply_batch, scd2.merge_batch):
+            with pytest.raises(Exception, match="not newer than the active version"):
+                step(before, observed(spark, [late])).collect()
+    same = observed(spark, [(1, 5, "6")])
+    assert rows(scd2.merge_batch(before, same), *SCD) == rows(before, *SCD)
+    assert rows(scd2.apply_batch(before, same), *SCD) == rows(before, *SCD)
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_late_observations_rebuild_only_their_entities(spark, seed):
     given = random_history(seed)

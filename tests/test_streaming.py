@@ -1,0 +1,138 @@
+import gzip
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shelfwatch.operators import scd2
+from shelfwatch.sinks.messages import publish_files
+from shelfwatch.sinks.tables import partition_values
+from shelfwatch.sources.files import stream_price_items
+from shelfwatch.sources.messages import file_stream
+from shelfwatch.sources.schemas import MESSAGE, RAW_PRICE, SCD
+from shelfwatch.streaming import history, landing
+from shelfwatch.streaming.consume import run_available
+from tests.conftest import day, rows, stamp
+from tests.test_sources import BROKEN, ITEMS, put
+
+K = T.StructType([T.StructField("k", T.LongType())])
+RAW = "itemcode string, num_reshet string, num_snif string, itemname string, itemprice string, file_name string, file_date timestamp"
+
+
+def log_of(spark, values):
+    return spark.createDataFrame([(v, "t", 0, i) for i, v in enumerate(values)], MESSAGE)
+
+
+def prices(spark, given):
+    """(item, day, price, hour) as price records."""
+    made = [
+        (str(i) if i is not None else None, "7", "1", f"i{i}-{n}-{h}", p, f"PriceFull7-1-{n:04}{h:02}", stamp(n, h))
+        for i, n, p, h in given
+    ]
+    return spark.createDataFrame(made, RAW)
+
+
+def as_messages(df):
+    return df.select(
+        F.to_json(F.struct("*")).alias("value"), F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.monotonically_increasing_id().alias("offset")
+    ).coalesce(1)
+
+
+def test_only_news_is_read(spark, folder):
+    log, out, checkpoint = folder + "/log", folder + "/out", folder + "/checkpoint"
+    sink = landing.parsed_sink(K, out)
+    publish_files(log_of(spark, ['{"k":1}', '{"k":2}']), log)
+    assert run_available(file_stream(spark, log), sink, checkpoint) == 2
+    assert run_available(file_stream(spark, log), sink, checkpoint) == 0
+    publish_files(log_of(spark, ['{"k":3}', "junk"]), log)
+    assert run_available(file_stream(spark, log), sink, checkpoint) == 2
+    assert rows(spark.read.parquet(out), "k") == [(1,), (2,), (3,), (None,)]
+
+
+def test_a_failed_batch_is_repeated_without_duplicates(spark, folder):
+    log, out, checkpoint = folder + "/log", folder + "/out", folder + "/checkpoint"
+    publish_files(log_of(spark, ['{"k":1}', '{"k":2}']), log)
+    sink = landing.parsed_sink(K, out)
+
+    def failing(batch, batch_id):
+        sink(batch, batch_id)
+        raise RuntimeError("lost after the write")
+
+    with pytest.raises(Exception, match="lost after the write"):
+        run_available(file_stream(spark, log), failing, checkpoint)
+    assert run_available(file_stream(spark, log), sink, checkpoint) == 2
+    assert rows(spark.read.parquet(out), "k") == [(1,), (2,)]
+
+
+def test_consumers_progress_on_their_own(spark, folder):
+    log = folder + "/log"
+    publish_files(log_of(spark, ['{"k":1}']), log)
+    for name, expected in (("a", 1), ("a", 0), ("b", 1)):
+        sink = landing.parsed_sink(K, f"{folder}/{name}")
+        assert run_available(file_stream(spark, log), sink, f"{folder}/checkpoint-{name}") == expected
+
+
+def test_unique_rows_survive_replay_and_resending(spark, folder):
+    schema = T.StructType([f for f in RAW_PRICE if f.name in ("file_name", "itemcode", "itemprice", "file_date")])
+    out, rejected = folder + "/out", folder + "/rejected"
+    sink = landing.unique_sink(schema, ["file_name", "itemcode"], out, rejected)
+    first = prices(spark, [(1, 0, "5", 3), (2, 0, "5", 3), (1, 1, "6", 3)])
+    second = prices(spark, [(1, 1, "6", 3), (3, 1, "7", 3), (None, 1, "8", 3), (None, 1, "8", 3)])
+    sink(as_messages(first.union(first)), 0)
+    sink(as_messages(second.union(first)), 1)
+    sink(as_messages(second.union(first)), 1)  # the same batch again
+    assert rows(spark.read.parquet(out), "itemcode", "file_date") == [
+        ("1", stamp(0)), ("1", stamp(1)), ("2", stamp(0)), ("3", stamp(1))
+    ]
+    assert spark.read.parquet(rejected).count() == 2
+
+
+def test_delivered_documents_are_landed_once(spark, folder):
+    inbox, out, bad, checkpoint = (f"{folder}/{n}" for n in ("inbox", "out", "bad", "checkpoint"))
+    sink = landing.price_file_sink(out, bad)
+    put(inbox, "PriceFull7290-012-202412010300.gz", gzip.compress(ITEMS.encode()))
+    run_available(stream_price_items(spark, inbox), sink, checkpoint)
+    put(inbox, "Price7290-013-202412020900.gz", gzip.compress(BROKEN.encode()))
+    run_available(stream_price_items(spark, inbox), sink, checkpoint)
+    assert run_available(stream_price_items(spark, inbox), sink, checkpoint) == 0
+    landed = spark.read.parquet(out)
+    assert rows(landed, "itemcode", "num_snif") == [("11", "012"), ("12", "012"), ("13", "013")]
+    assert sorted({str(r[0]) for r in landed.select("file_day").collect()}) == ["2024-12-01", "2024-12-02"]
+    assert [r[0] for r in rows(spark.read.parquet(bad), "reason")] == ["no_key", "unreadable"]
+
+
+def random_prices(seed, size=70):
+    rng = random.Random(seed)
+    seen = {}
+    for _ in range(size):
+        item = 1 if rng.random() < 0.34 else rng.randrange(6)
+        seen[(item, rng.randrange(15), rng.choice([3, 9]))] = rng.choice(["5", "6", "bad"])
+    return [(i, n, p, h) for (i, n, h), p in seen.items()]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_history_of_a_stream_equals_history_of_all_rows(spark, folder, seed):
+    given = random_prices(seed)
+    random.Random(seed).shuffle(given)
+    sink = history.history_sink(RAW_PRICE, folder)
+    waves = [given[:20], [g for g in given[20:] if g[1] > 9], [g for g in given[20:] if g[1] <= 9], []]
+    for batch_id, wave in enumerate(waves):
+        messages = as_messages(prices(spark, wave + [(None, 0, "1", 3)])) if wave else log_of(spark, [])
+        sink(messages, batch_id)
+        if batch_id == 1:
+            sink(messages, batch_id)  # repeated after a failure
+        known = [g for w in waves[: batch_id + 1] for g in w]
+        want = scd2.build_versions(scd2.daily_observations(prices(spark, known)))
+        assert rows(history.read_history(spark, folder, batch_id), *SCD) == rows(want, *SCD)
+    assert spark.read.parquet(folder + "/rejected").count() == 3
+
+
+def test_ordinary_batches_do_not_rewrite_closed_versions(spark, folder):
+    sink = history.history_sink(RAW_PRICE, folder)
+    for n in range(3):
+        sink(as_messages(prices(spark, [(1, n, str(n), 3), (2, n, "5", 3)])), n)
+    assert partition_values(spark, f"{folder}/versions/IsActive=0", "batch") == ["1", "2"]
+    closed = spark.read.parquet(f"{folder}/versions").filter("IsActive = 0")
+    assert rows(closed, "itemcode", "StartDate", "batch") == [(1, day(0), 1), (1, day(1), 2)]
+    assert spark.read.parquet(f"{folder}/rebuilt").count() == 0
