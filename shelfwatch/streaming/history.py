@@ -81,10 +81,12 @@ def read_history(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     return active.select(*SCD).unionByName(closed.select(*SCD))
 
 
-def history_sink(schema: T.StructType, root: str, chain: str | None = None) -> Sink:
+def history_sink(schema: T.StructType | None, root: str, chain: str | None = None) -> Sink:
+    """Keep the history under ``root``; without a schema the rows come parsed."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prices = decode(batch, schema, keep=[])
+        prices = decode(batch, schema, keep=[]) if schema else batch
         chosen = scd2.full_files(prices, chain=chain)
         write_once(scd2.rejected_observations(chosen), f"{root}/rejected/batch={batch_id}")
         observed = scd2.last_observations(chosen)

@@ -1,3 +1,4 @@
+import datetime as dt
 import gzip
 import random
 
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwatch.operators import scd2
+from shelfwatch.plans import daily
 from shelfwatch.sinks.messages import publish_files
 from shelfwatch.sinks.tables import partition_values
 from shelfwatch.sources.files import stream_price_items
@@ -14,7 +16,7 @@ from shelfwatch.sources.schemas import MESSAGE, RAW_PRICE, SCD
 from shelfwatch.streaming import history, landing
 from shelfwatch.streaming.consume import run_available
 from tests.conftest import day, rows, stamp
-from tests.test_sources import BROKEN, ITEMS, put
+from tests.test_sources import BROKEN, ITEMS, STORES, put
 
 K = T.StructType([T.StructField("k", T.LongType())])
 RAW = "itemcode string, num_reshet string, num_snif string, itemname string, itemprice string, file_name string, file_date timestamp"
@@ -43,10 +45,10 @@ def test_only_news_is_read(spark, folder):
     log, out, checkpoint = folder + "/log", folder + "/out", folder + "/checkpoint"
     sink = landing.parsed_sink(K, out)
     publish_files(log_of(spark, ['{"k":1}', '{"k":2}']), log)
-    assert run_available(file_stream(spark, log), sink, checkpoint) == 2
+    assert run_available(file_stream(spark, log), sink, checkpoint) == 1
     assert run_available(file_stream(spark, log), sink, checkpoint) == 0
     publish_files(log_of(spark, ['{"k":3}', "junk"]), log)
-    assert run_available(file_stream(spark, log), sink, checkpoint) == 2
+    assert run_available(file_stream(spark, log), sink, checkpoint) == 1
     assert rows(spark.read.parquet(out), "k") == [(1,), (2,), (3,), (None,)]
 
 
@@ -61,7 +63,7 @@ def test_a_failed_batch_is_repeated_without_duplicates(spark, folder):
 
     with pytest.raises(Exception, match="lost after the write"):
         run_available(file_stream(spark, log), failing, checkpoint)
-    assert run_available(file_stream(spark, log), sink, checkpoint) == 2
+    assert run_available(file_stream(spark, log), sink, checkpoint) == 1
     assert rows(spark.read.parquet(out), "k") == [(1,), (2,)]
 
 
@@ -89,17 +91,50 @@ def test_unique_rows_survive_replay_and_resending(spark, folder):
 
 
 def test_delivered_documents_are_landed_once(spark, folder):
-    inbox, out, bad, checkpoint = (f"{folder}/{n}" for n in ("inbox", "out", "bad", "checkpoint"))
-    sink = landing.price_file_sink(out, bad)
+    inbox, out, checkpoint = (f"{folder}/{n}" for n in ("inbox", "out", "checkpoint"))
+    sink = landing.price_file_sink(out)
     put(inbox, "PriceFull7290-012-202412010300.gz", gzip.compress(ITEMS.encode()))
     run_available(stream_price_items(spark, inbox), sink, checkpoint)
     put(inbox, "Price7290-013-202412020900.gz", gzip.compress(BROKEN.encode()))
     run_available(stream_price_items(spark, inbox), sink, checkpoint)
     assert run_available(stream_price_items(spark, inbox), sink, checkpoint) == 0
-    landed = spark.read.parquet(out)
+    landed = spark.read.parquet(landing.landed_path(out))
     assert rows(landed, "itemcode", "num_snif") == [("11", "012"), ("12", "012"), ("13", "013")]
     assert sorted({str(r[0]) for r in landed.select("file_day").collect()}) == ["2024-12-01", "2024-12-02"]
-    assert [r[0] for r in rows(spark.read.parquet(bad), "reason")] == ["no_key", "unreadable"]
+    assert [r[0] for r in rows(spark.read.parquet(landing.quarantine_path(out)), "reason")] == ["no_key", "unreadable"]
+
+
+def price_document(n, price):
+    items = "".join(
+        f"<Item><ItemCode>{i}</ItemCode><ItemName>i{i}</ItemName><ItemPrice>{p}</ItemPrice>"
+        f"<PriceUpdateDate>2024-01-01</PriceUpdateDate></Item>"
+        for i, p in ((1, price), (2, "5"))
+    )
+    name = f"PriceFull7290-001-{day(n):%Y%m%d}0300.gz"
+    return name, gzip.compress(f"<Root><Items>{items}</Items></Root>".encode())
+
+
+def test_daily_runs(spark, folder):
+    places = daily.Places(f"{folder}/in/prices", f"{folder}/in/stores", f"{folder}/tables")
+    put(places.store_inbox, "Stores7290-202401010600.xml", STORES.encode("utf-16"))
+    chains = spark.createDataFrame([("Chain", 7290)], "reshet_name string, reshet_num long")
+    for n, price in enumerate(["5", "6", "6"]):
+        put(places.price_inbox, *price_document(n, price))
+        got = daily.run_day(spark, places, chains, dt.date.today(), keep_days=36500)
+        assert (got.landed, got.enriched, got.observed) == (1, 1, 1)
+    again = daily.run_day(spark, places, chains, dt.date.today(), keep_days=36500)
+    assert (again.landed, again.enriched, again.observed) == (0, 0, 0)
+    fact = spark.read.parquet(places.at("fact"))
+    assert rows(fact, "itemcode", "reshet_name", "storename", "zipcode", "itemprice")[0][:4] == (1, "Chain", "חיפה", -999)
+    assert fact.count() == 6
+    versions = history.read_history(spark, places.at("history"), 2)
+    assert rows(versions, "itemcode", "StartDate", "EndDate") == [
+        (1, day(0), day(1)), (1, day(1), None), (2, day(0), None)
+    ]
+    done = daily.run_day(spark, places, chains, day(2), keep_days=1)
+    assert done.archived_days == [str(day(0)), str(day(1))]
+    assert spark.read.parquet(places.at("archive")).count() == 4
+    assert spark.read.parquet(landing.landed_path(places.at("prices"))).count() == 2
 
 
 def random_prices(seed, size=70):
