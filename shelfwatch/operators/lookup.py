@@ -25,7 +25,12 @@ def salt_count(facts: DataFrame, dim_bytes: int) -> int:
 
 
 def attach(
-    facts: DataFrame, dim: DataFrame, on: list[str], spread: list[str], max_bytes: int = BROADCAST_BYTES
+    facts: DataFrame,
+    dim: DataFrame,
+    on: list[str],
+    spread: list[str],
+    max_bytes: int | None = None,
+    derived_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join ``facts`` to ``dim`` on equal-named keys.
 
@@ -33,8 +38,14 @@ def attach(
     key (a chain may hold a third of all prices) are spread over many join partitions: the salt is
     a hash of the ``spread`` columns, so a re-run task repeats it, and the dimension is repeated
     once per salt. Each fact row meets each of its dimension rows exactly once either way.
+
+    ``derived_from`` is a frame the dimension was picked from, with rows at least as many and as
+    wide: if it is small, the dimension is, and need not be computed to be measured.
     """
-    size = measured_bytes(dim)
+    max_bytes = BROADCAST_BYTES if max_bytes is None else max_bytes
+    size = measured_bytes(dim if derived_from is None else derived_from)
+    if size > max_bytes and derived_from is not None:
+        size = measured_bytes(dim)
     if size <= max_bytes:
         return facts.join(F.broadcast(dim), on, "left")
     salts = salt_count(facts, size)

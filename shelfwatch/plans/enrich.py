@@ -45,7 +45,10 @@ def store_dimension(stores: DataFrame) -> DataFrame:
 def join_store(prices: DataFrame, stores: DataFrame) -> DataFrame:
     """Add the store's name, address, city and zip code; ``num_snif`` becomes a number."""
     keyed = prices.withColumn("num_snif", to_whole(F.col("num_snif"), "int"))
-    return attach(keyed, store_dimension(stores), ["num_reshet", "num_snif"], _SPREAD)
+    delivered = stores.select("num_reshet", "storeid", "storename", "address", "city", "zipcode")
+    return attach(
+        keyed, store_dimension(stores), ["num_reshet", "num_snif"], _SPREAD, derived_from=delivered
+    )
 
 
 def with_dimensions(prices: DataFrame, chains: DataFrame, stores: DataFrame) -> DataFrame:

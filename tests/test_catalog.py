@@ -22,3 +22,17 @@ def test_flagship(spark):
 @pytest.mark.parametrize("name", list(entry.queries()))
 def test_query_equals_sql(spark, tables, name):
     assert compare(spark, tables, name, SMALL).startswith("ok")
+
+
+@pytest.mark.parametrize(
+    "name", ["price_fact", "join_store", "scd2_late", "scd2_as_of", "scd2_apply", "coverage_missing", "new_files_anti"]
+)
+def test_query_equals_sql_when_nothing_is_broadcast(spark, tables, monkeypatch, name):
+    monkeypatch.setattr("shelfwatch.operators.lookup.BROADCAST_BYTES", -1)
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        assert compare(spark, tables, name, SMALL).startswith("ok")
+    finally:
+        spark.conf.set(limit, before)

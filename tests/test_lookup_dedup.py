@@ -33,6 +33,14 @@ def test_salted_lookup_keeps_repeated_dimension_rows(spark):
     )
 
 
+def test_a_large_source_of_a_small_dimension_does_not_prevent_the_broadcast(spark):
+    dim = spark.createDataFrame([(1, "a")], "k long, name string")
+    source = spark.range(5000).select(F.lit(1).alias("k"), F.lit("a").alias("name"))
+    joined = attach(hot_facts(spark), dim, ["k"], ["id"], max_bytes=1000, derived_from=source)
+    assert "BroadcastHash" in joined._jdf.queryExecution().sparkPlan().toString()
+    assert "_salt" not in joined.columns
+
+
 def test_measured_bytes_grows_with_rows(spark):
     dim = spark.range(1000).select("id", F.lit("x" * 100).alias("t"))
     assert 1000 * 100 < measured_bytes(dim) < 1000 * 200
