@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwatch.operators import lifecycle
 from shelfwatch.plans import ingest
+from shelfwatch.sinks.tables import path_exists
 from shelfwatch.sources import files
 from shelfwatch.streaming import history, landing
 from shelfwatch.streaming.consume import run_available
@@ -55,16 +56,18 @@ def run_day(
         places.at("checkpoints/landing"),
     )
     stores = ingest.good(ingest.store_records(files.read_stores(spark, places.store_inbox)))
-    enriched = run_available(
-        landing.landed_stream(spark, prices),
-        landing.fact_sink(None, chains, stores, fact),
-        places.at("checkpoints/fact"),
-    )
-    observed = run_available(
-        landing.landed_stream(spark, prices),
-        history.history_sink(None, places.at("history"), chain),
-        places.at("checkpoints/history"),
-    )
+    enriched = observed = 0
+    if path_exists(spark, landing.landed_path(prices)):
+        enriched = run_available(
+            landing.landed_stream(spark, prices),
+            landing.fact_sink(None, chains, stores, fact),
+            places.at("checkpoints/fact"),
+        )
+        observed = run_available(
+            landing.landed_stream(spark, prices),
+            history.history_sink(None, places.at("history"), chain),
+            places.at("checkpoints/history"),
+        )
     expired = lifecycle.drop_expired(spark, fact, today, keep_days)
     archived = lifecycle.archive(
         spark, landing.landed_path(prices), places.at("archive"), today, keep_days, "file_day"

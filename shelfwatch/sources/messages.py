@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwatch.sources.files import REMEMBER_FILES
 from shelfwatch.sources.schemas import MESSAGE
 
 
@@ -27,7 +28,7 @@ def kafka_stream(
 
 def file_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """A message log kept as Parquet files."""
-    reader = spark.readStream.schema(MESSAGE)
+    reader = spark.readStream.schema(MESSAGE).option("maxFileAge", REMEMBER_FILES)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.parquet(path)

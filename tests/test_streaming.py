@@ -118,6 +118,9 @@ def test_daily_runs(spark, folder):
     places = daily.Places(f"{folder}/in/prices", f"{folder}/in/stores", f"{folder}/tables")
     put(places.store_inbox, "Stores7290-202401010600.xml", STORES.encode("utf-16"))
     chains = spark.createDataFrame([("Chain", 7290)], "reshet_name string, reshet_num long")
+    put(places.price_inbox, "Price7290.gz", gzip.compress(ITEMS.encode()))  # nothing good to land yet
+    first = daily.run_day(spark, places, chains, dt.date.today(), keep_days=36500)
+    assert (first.landed, first.enriched, first.observed) == (1, 0, 0)
     for n, price in enumerate(["5", "6", "6"]):
         put(places.price_inbox, *price_document(n, price))
         got = daily.run_day(spark, places, chains, dt.date.today(), keep_days=36500)
