@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -38,6 +39,11 @@ def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
     )
 
 
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="shelfwatch-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
@@ -48,9 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    fallback = tempfile.mkdtemp(prefix="shelfwatch-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return _local_dir()
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:

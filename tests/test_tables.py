@@ -1,4 +1,4 @@
-import datetime as dt
+from unittest.mock import MagicMock
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 from shelfwatch.operators import lifecycle
 from shelfwatch.plans import history
 from shelfwatch.session import fresh_dir, shared_dir
+from shelfwatch.sinks import jdbc as jdbc_sink
 from shelfwatch.sinks import tables
+from shelfwatch.sources import jdbc as jdbc_source
+from shelfwatch.sources import messages as message_source
 from shelfwatch.sources.schemas import SCD
 from tests.conftest import day, rows, stamp
 
@@ -107,8 +110,49 @@ def test_external_table(spark, folder):
         tables.expose_external(spark, "x; DROP", folder, df.schema)
 
 
-def test_work_folder_comes_from_the_session(spark):
-    named = spark.conf.get("spark.checkpoint.dir")
-    assert shared_dir(spark) == named.rstrip("/")
-    assert fresh_dir(spark, "a") != fresh_dir(spark, "a")
-    assert isinstance(dt.date.today(), dt.date)
+class FakeSession:
+    def __init__(self, **conf):
+        self.conf = {k.replace("__", "."): v for k, v in conf.items()}
+
+
+def test_work_folder(spark):
+    named = FakeSession(spark__checkpoint__dir="hdfs://shared/x/", spark__master="yarn")
+    assert shared_dir(named) == "hdfs://shared/x"
+    assert fresh_dir(named, "a") != fresh_dir(named, "a")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(FakeSession(spark__master="yarn"))
+    local = FakeSession(spark__master="local[2]")
+    assert shared_dir(local) == shared_dir(local)
+
+
+def options_of(reader):
+    """All options given to a mocked reader or writer, in whatever chain of calls."""
+    given = {}
+    for name, args, kwargs in reader.mock_calls:
+        if name.split(".")[-1] == "option":
+            given[args[0]] = args[1]
+        given.update(kwargs.get("properties", {}))
+    return given
+
+
+def test_relational_tables_are_read_in_parallel_and_replaced_in_place():
+    session, df = MagicMock(), MagicMock()
+    jdbc_source.read_table(session, "jdbc:x", "dwh.t", "u", "p", split=("num_snif", 0, 1000, 16))
+    got = options_of(session)
+    assert got["dbtable"] == "dwh.t" and got["numPartitions"] == "16" and got["partitionColumn"] == "num_snif"
+    jdbc_sink.append_table(df, "jdbc:x", "dwh.t", "u", "p")
+    jdbc_sink.replace_table(df, "jdbc:x", "dwh.t", "u", "p")
+    assert options_of(df)["truncate"] == "true"
+    assert [c.kwargs["mode"] for c in [*df.write.jdbc.call_args_list, *df.write.option().jdbc.call_args_list]] == [
+        "append",
+        "overwrite",
+    ]
+
+
+def test_topics_are_read_from_the_start_unless_a_checkpoint_says_otherwise(monkeypatch):
+    monkeypatch.setattr(message_source, "F", MagicMock())
+    session = MagicMock()
+    message_source.kafka_stream(session, "host:1", "prices", max_offsets=500)
+    got = options_of(session)
+    assert got["subscribe"] == "prices" and got["startingOffsets"] == "earliest"
+    assert got["maxOffsetsPerTrigger"] == "500"
