@@ -578,5 +578,4 @@ def stream_scd2(spark, sf):
     on_time = records.filter(F.col("value") <= LATE_ABOVE)
     waves = [_price_log(w) for w in [*_halves(on_time), records.filter(F.col("value") > LATE_ABOVE)]]
     _run_waves(spark, waves, {"history": stream_history.history_sink(RAW_PRICE, root)})
-    last = max(int(b) for b in tables.partition_values(spark, f"{root}/versions/IsActive=1", "batch"))
-    return stream_history.read_history(spark, root, last)
+    return stream_history.read_history(spark, root, stream_history.latest_batch(spark, root))

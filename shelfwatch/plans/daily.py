@@ -68,6 +68,7 @@ def run_day(
             history.history_sink(None, places.at("history"), chain),
             places.at("checkpoints/history"),
         )
+        history.prune_active(spark, places.at("history"))
     expired = lifecycle.drop_expired(spark, fact, today, keep_days)
     archived = lifecycle.archive(
         spark, landing.landed_path(prices), places.at("archive"), today, keep_days, "file_day"

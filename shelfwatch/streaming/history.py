@@ -21,7 +21,13 @@ from pyspark.sql import types as T
 
 from shelfwatch.operators import scd2
 from shelfwatch.operators.messages import decode
-from shelfwatch.sinks.tables import path_exists, write_once, write_partitioned
+from shelfwatch.sinks.tables import (
+    delete_path,
+    partition_values,
+    path_exists,
+    write_once,
+    write_partitioned,
+)
 from shelfwatch.sources.schemas import ENTITY, PRICE, SCD
 from shelfwatch.streaming.consume import Sink
 
@@ -81,6 +87,22 @@ def read_history(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     return active.select(*SCD).unionByName(closed.select(*SCD))
 
 
+def latest_batch(spark: SparkSession, root: str) -> int | None:
+    return max(map(int, partition_values(spark, f"{root}/versions/IsActive=1", "batch")), default=None)
+
+
+def prune_active(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Drop active versions of all but the newest batches; only those are read again.
+
+    The history as of a pruned batch can no longer be read; closed versions and the log stay.
+    """
+    batches = sorted(map(int, partition_values(spark, f"{root}/versions/IsActive=1", "batch")))
+    gone = batches[: max(len(batches) - max(keep, 1), 0)]
+    for batch in gone:
+        delete_path(spark, f"{root}/versions/IsActive=1/batch={batch}")
+    return gone
+
+
 def history_sink(schema: T.StructType | None, root: str, chain: str | None = None) -> Sink:
     """Keep the history under ``root``; without a schema the rows come parsed."""
 

@@ -130,6 +130,7 @@ def test_daily_runs(spark, folder):
     fact = spark.read.parquet(places.at("fact"))
     assert rows(fact, "itemcode", "reshet_name", "storename", "zipcode", "itemprice")[0][:4] == (1, "Chain", "חיפה", -999)
     assert fact.count() == 6
+    assert partition_values(spark, places.at("history/versions/IsActive=1"), "batch") == ["1", "2"]
     versions = history.read_history(spark, places.at("history"), 2)
     assert rows(versions, "itemcode", "StartDate", "EndDate") == [
         (1, day(0), day(1)), (1, day(1), None), (2, day(0), None)
@@ -174,3 +175,8 @@ def test_ordinary_batches_do_not_rewrite_closed_versions(spark, folder):
     closed = spark.read.parquet(f"{folder}/versions").filter("IsActive = 0")
     assert rows(closed, "itemcode", "StartDate", "batch") == [(1, day(0), 1), (1, day(1), 2)]
     assert spark.read.parquet(f"{folder}/rebuilt").count() == 0
+    before = rows(history.read_history(spark, folder, 2))
+    assert history.prune_active(spark, folder) == [0]
+    assert history.prune_active(spark, folder) == []
+    assert history.latest_batch(spark, folder) == 2
+    assert rows(history.read_history(spark, folder, 2)) == before
