@@ -98,11 +98,11 @@ LATE = "an observation is not newer than the active version; use rebuild_entitie
 
 
 def _one_per_entity(batch: DataFrame) -> DataFrame:
-    """The batch with its rows as a struct; the job fails if an entity occurs twice.
+    """The priced batch rows as a struct; the job fails if an entity occurs twice.
 
     Grouping on the join keys adds no shuffle: the join below reuses its partitioning.
     """
-    grouped = batch.groupBy(*ENTITY).agg(
+    grouped = priced(batch).groupBy(*ENTITY).agg(
         F.count("*").alias("_n"),
         F.max(F.struct("file_date", "itemprice", "itemname")).alias("_row"),
     )
@@ -188,7 +188,9 @@ def advance(active: DataFrame, daily: DataFrame) -> DataFrame:
         (F.col("file_date") == F.col("_known.file_date")) & (F.col("itemprice") != F.col("_known.itemprice"))
     )
     checked = known.filter(F.when(late, F.raise_error(F.lit(LATE)).cast("boolean")).otherwise(True))
-    return build_versions(checked.select(*columns))
+    # What repeats the start of the active version is already in it, under its first name.
+    new = F.col("_known").isNull() | (F.col("file_date") > F.col("_known.file_date"))
+    return build_versions(checked.filter(F.col("_seed").isNotNull() | new).select(*columns))
 
 
 def merge_batch(history: DataFrame, daily: DataFrame) -> DataFrame:

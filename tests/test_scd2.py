@@ -100,6 +100,12 @@ def test_actions(spark):
     )
 
 
+def test_an_unreadable_price_leaves_the_active_version_alone(spark):
+    before = scd2.build_versions(observed(spark, [(1, 0, "5")]))
+    batch = observed(spark, [(1, 1, "6"), (2, 1, "6")]).withColumn("itemprice", F.lit(None).cast(PRICE))
+    assert rows(scd2.apply_batch(before, batch), "itemcode", "EndDate", "Action") == [(1, None, "OLD")]
+
+
 def test_apply_refuses_several_days_of_one_entity(spark):
     before = scd2.build_versions(observed(spark, [(1, 0, "5")]))
     with pytest.raises(Exception, match="several rows for one entity"):
@@ -123,7 +129,7 @@ def test_late_observations_are_refused_where_they_cannot_be_placed(spark):
         for step in (scd2.apply_batch, scd2.merge_batch):
             with pytest.raises(Exception, match="not newer than the active version"):
                 step(before, observed(spark, [late])).collect()
-    same = observed(spark, [(1, 5, "6")])
+    same = observed(spark, [(1, 5, "6", "renamed")])
     assert rows(scd2.merge_batch(before, same), *SCD) == rows(before, *SCD)
     assert rows(scd2.apply_batch(before, same), *SCD) == rows(before, *SCD)
 
