@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwatch.llm import decontaminate as op6
+from shelfwatch.llm import line_dedup as op10
 from shelfwatch.llm import substring_dedup as op3
 
 
@@ -17,6 +19,19 @@ def op3_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_substring_dedup,)}
+def op6_decontaminate(spark, sf_dir):
+    found = op6.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), window=13)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
 
-ORACLES: dict[str, str] = {}
+
+def op10_line_dedup(spark, sf_dir):
+    found = op10.line_dedup(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_chunks", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op3_substring_dedup, op6_decontaminate, op10_line_dedup)}
+
+ORACLES: dict[str, str] = {"op10_line_dedup": op10.ORACLE}

@@ -98,6 +98,14 @@ def words_of(texts: list[bytes], separators: list[int], lower: bool = False, see
     return Words(data, start, end, np.searchsorted(start, begins), _hashes(data, start, end, seed))
 
 
+def count_words(text: bytes, separators: list[int], lower: bool = False) -> int:
+    """How many words the text has."""
+    is_word = np.ones(256, bool)
+    is_word[separators] = False
+    inside = (is_word[_LOWER] if lower else is_word)[np.frombuffer(text, np.uint8)]
+    return int(np.count_nonzero(inside[1:] & ~inside[:-1]) + inside[:1].sum())
+
+
 def runs(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hash of the k values from each place on; the last k - 1 places have none."""
     n = len(hashes) - k + 1
