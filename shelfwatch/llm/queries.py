@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwatch.llm import decontaminate as op6
+from shelfwatch.llm import jaccard_join as op7
 from shelfwatch.llm import line_dedup as op10
 from shelfwatch.llm import substring_dedup as op3
 
@@ -27,11 +28,15 @@ def op6_decontaminate(spark, sf_dir):
     )
 
 
+def op7_jaccard_join(spark, sf_dir):
+    return op7.jaccard_components(_table(spark, sf_dir, "documents"), ngram=5, percent=75)
+
+
 def op10_line_dedup(spark, sf_dir):
     found = op10.line_dedup(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_chunks", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_substring_dedup, op6_decontaminate, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op3_substring_dedup, op6_decontaminate, op7_jaccard_join, op10_line_dedup)}
 
 ORACLES: dict[str, str] = {"op10_line_dedup": op10.ORACLE}
