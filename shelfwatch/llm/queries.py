@@ -10,6 +10,7 @@ from shelfwatch.llm import decontaminate as op6
 from shelfwatch.llm import jaccard_join as op7
 from shelfwatch.llm import line_dedup as op10
 from shelfwatch.llm import packing as op5
+from shelfwatch.llm import secrets as op4
 from shelfwatch.llm import substring_dedup as op3
 
 
@@ -22,6 +23,10 @@ def op3_substring_dedup(spark, sf_dir):
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_secrets(spark, sf_dir):
+    return op4.digest(op4.secret_spans(_table(spark, sf_dir, "documents")))
+
+
 def op5_packing(spark, sf_dir):
     return op5.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), length=2048)
 
@@ -43,6 +48,6 @@ def op10_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_chunks", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_substring_dedup, op5_packing, op6_decontaminate, op7_jaccard_join, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op3_substring_dedup, op4_secrets, op5_packing, op6_decontaminate, op7_jaccard_join, op10_line_dedup)}
 
 ORACLES: dict[str, str] = {"op10_line_dedup": op10.ORACLE}
