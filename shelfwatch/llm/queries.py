@@ -12,9 +12,11 @@ from shelfwatch.llm import line_dedup as op10
 from shelfwatch.llm import packing as op5
 from shelfwatch.llm import secrets as op4
 from shelfwatch.llm import substring_dedup as op3
+from shelfwatch.llm.workers import send_package
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    send_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
