@@ -11,6 +11,7 @@ from shelfwatch.llm import jaccard_join as op7
 from shelfwatch.llm import line_dedup as op10
 from shelfwatch.llm import packing as op5
 from shelfwatch.llm import secrets as op4
+from shelfwatch.llm import sharding as op8
 from shelfwatch.llm import substring_dedup as op3
 from shelfwatch.llm import warc as op9
 from shelfwatch.llm.workers import send_package
@@ -46,6 +47,11 @@ def op7_jaccard_join(spark, sf_dir):
     return op7.jaccard_components(_table(spark, sf_dir, "documents"), ngram=5, percent=75)
 
 
+def op8_sharding(spark, sf_dir):
+    found = op8.shard_documents(_table(spark, sf_dir, "documents"), shards=40)
+    return found.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
+
+
 def op9_warc(spark, sf_dir):
     return op9.capture_digests(_table(spark, sf_dir, "pages"), least=0)
 
@@ -55,6 +61,6 @@ def op10_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_chunks", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op3_substring_dedup, op4_secrets, op5_packing, op6_decontaminate, op7_jaccard_join, op9_warc, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op3_substring_dedup, op4_secrets, op5_packing, op6_decontaminate, op7_jaccard_join, op8_sharding, op9_warc, op10_line_dedup)}
 
 ORACLES: dict[str, str] = {"op9_warc": op9.ORACLE, "op10_line_dedup": op10.ORACLE}
