@@ -63,13 +63,21 @@ def _chunks(docs: DataFrame) -> DataFrame:
     )
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, n_lines, n_chunks, n_removed (lines), kept_text (null only for a null text)."""
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+    """Per document: doc_id, n_lines, n_chunks, n_removed (lines), kept_text (null only for a null text).
+
+    Columns named in `carry` come along as the struct `carried`.
+    """
+    carried = F.struct(*(carry or [])).alias("carried")
+    # Beside the texts, so that these are shuffled in one form only; a row is known by its id and its text's hash.
+    beside = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("hash"), carried).dropDuplicates(["doc_id", "hash"])
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     # The place in the table is the document's id and the chunk's number; null ids are one document.
     digests = saved(_chunks(docs).select("doc_id", "chunk", F.unhex(F.md5("chunk_text")).alias("digest")), "chunks")
+    # What is looked up is written first, so that both sides of the joins are plain shuffles and AQE can split them.
     seen_again = digests.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
-    candidates = digests.join(seen_again, "digest", "left_semi").groupBy("doc_id").agg(F.collect_set("chunk").alias("candidates"))
+    repeated = digests.join(saved(seen_again, "repeated"), "digest", "left_semi")
+    candidates = repeated.groupBy("doc_id").agg(F.collect_set("chunk").alias("candidates"))
 
     same_id = F.col("t.doc_id").eqNullSafe(F.col("c.doc_id"))
     found = docs.alias("t").join(candidates.alias("c"), same_id).select("t.doc_id", "t.text", "c.candidates")
@@ -82,14 +90,19 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     texts = texts.select(
         "doc_id", "c.chunk", "c.chunk_text", F.unhex(F.md5("c.chunk_text")).alias("digest"), F.struct("doc_id", "c.chunk").alias("place")
     )
-    owners = texts.groupBy("digest", "chunk_text").agg(F.min("place").alias("owner"))
+    owners = saved(texts.groupBy("digest", "chunk_text").agg(F.min("place").alias("owner")), "owners")
     removed = (
         texts.join(owners, ["digest", "chunk_text"]).filter(F.col("place") != F.col("owner"))
         .groupBy("doc_id").agg(F.collect_set("chunk").alias("removed"))
     )
 
-    same_id = F.col("t.doc_id").eqNullSafe(F.col("r.doc_id"))
-    whole = docs.alias("t").join(removed.alias("r"), same_id, "left").select("t.doc_id", "t.text", "r.removed")
+    if carry:
+        known = beside.alias("b").join(removed.alias("r"), F.col("b.doc_id").eqNullSafe(F.col("r.doc_id")), "left")
+        removed = known.select("b.doc_id", "hash", "carried", "removed")
+    same_row = F.col("t.doc_id").eqNullSafe(F.col("r.doc_id"))
+    if carry:
+        same_row &= F.xxhash64("t.text").bitwiseXOR(F.col("r.hash")) == 0
+    whole = docs.alias("t").join(removed.alias("r"), same_row, "left").select("t.doc_id", "t.text", "removed", *(["carried"] if carry else []))
     none = F.array().cast("array<int>")
     whole = with_chunks(whole).withColumn("removed", F.coalesce("removed", none))
     numbers = F.transform("starts", lambda _, k: k)
@@ -100,6 +113,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.size("starts").alias("n_chunks"),
         (F.size("lines") - F.size("kept")).alias("n_removed"),
         F.when(F.size("removed") == 0, F.col("text")).otherwise(F.array_join("kept", "\n")).alias("kept_text"),
+        *(["carried"] if carry else []),
     )
 
 

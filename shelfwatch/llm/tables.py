@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from shelfwatch.operators.lookup import BROADCAST_BYTES, measured_bytes
 from shelfwatch.session import fresh_dir
 
 
@@ -12,3 +14,8 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     path = fresh_dir(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame) -> DataFrame:
+    """For a join: to be sent to every task if measured to be small, else shuffled like any other side."""
+    return F.broadcast(df) if measured_bytes(df) <= BROADCAST_BYTES else df
