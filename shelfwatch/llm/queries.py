@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfwatch.llm import decontaminate as op6
+from shelfwatch.llm import embedding_dedup as op1
 from shelfwatch.llm import jaccard_join as op7
 from shelfwatch.llm import line_dedup as op10
 from shelfwatch.llm import packing as op5
@@ -23,6 +24,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark, sf_dir):
+    return op1.embedding_links(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op2_quality(spark, sf_dir):
     return op2.score_documents(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -66,6 +71,6 @@ def op10_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_chunks", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality, op3_substring_dedup, op4_secrets, op5_packing, op6_decontaminate, op7_jaccard_join, op8_sharding, op9_warc, op10_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_substring_dedup, op4_secrets, op5_packing, op6_decontaminate, op7_jaccard_join, op8_sharding, op9_warc, op10_line_dedup)}
 
 ORACLES: dict[str, str] = {"op9_warc": op9.ORACLE, "op10_line_dedup": op10.ORACLE}
