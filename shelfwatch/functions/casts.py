@@ -41,5 +41,7 @@ def convert(text: Column, type_name: str) -> Column:
 
 
 def convert_columns(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Typed projection: convert the listed columns in place, keep the others."""
-    return df.withColumns({c: convert(F.col(c), t) for c, t in types.items() if c in df.columns})
+    """Typed projection: convert the listed columns in place, keep the others and those that have the type."""
+    have = dict(df.dtypes)
+    wrong = {c: t for c, t in types.items() if c in have and have[c] != (PRICE.simpleString() if t == "price" else t)}
+    return df.withColumns({c: convert(F.col(c), t) for c, t in wrong.items()})

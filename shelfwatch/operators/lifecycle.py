@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwatch.sinks.tables import delete_path, partition_values, write_partitioned
 
@@ -59,27 +60,33 @@ def archive(
     days: int = KEEP_DAYS,
     column: str = "snapshot",
 ) -> list[str]:
-    """Move expired partitions to an archive partitioned by month and day.
+    """Move expired partitions to an archive partitioned by month, day and delivery.
 
-    Archived days are overwritten one by one, so a repeated run changes nothing. The originals go
-    only after the archive was read back and every day has as many rows as its source.
+    A delivery is a source file, known by its name, which no later file has. So a late file for a
+    day that was archived before is added to it, and a repeated run replaces only what it wrote
+    itself. The originals go only after the archive was read back and every delivery has as many
+    rows as its source.
     """
     last_expired = today - dt.timedelta(days=days)
     gone = _expired_days(spark, path, last_expired, column)
     if not gone:
         return []
     old = spark.read.parquet(path).filter(F.col(column) <= F.lit(last_expired))
-    month = F.date_format(column, "yyyy-MM")
-    write_partitioned(old.withColumn("archive_month", month), archive_path, ["archive_month", column])
-
-    wanted = old.groupBy(column).agg(F.count("*").alias("n"))
-    stored = (
-        spark.read.parquet(archive_path)
-        .filter(F.col(column) <= F.lit(last_expired))
-        .groupBy(column)
-        .agg(F.count("*").alias("m"))
+    old = old.withColumns(
+        {
+            "archive_month": F.date_format(column, "yyyy-MM"),
+            "delivery": F.hex(F.xxhash64(F.col("_metadata.file_name"))),
+        }
     )
-    lost = wanted.join(stored, column, "left").filter(~F.col("n").eqNullSafe(F.col("m")))
+    write_partitioned(old, archive_path, ["archive_month", column, "delivery"])
+
+    each = [column, "delivery"]
+    wanted = old.groupBy(*each).agg(F.count("*").alias("n"))
+    # Read as text: a name of digits only must not turn into a number.
+    whole = T.StructType([T.StructField(column, T.DateType()), T.StructField("delivery", T.StringType())])
+    stored = spark.read.schema(whole).parquet(archive_path).filter(F.col(column) <= F.lit(last_expired))
+    stored = stored.groupBy(*each).agg(F.count("*").alias("m"))
+    lost = wanted.join(stored, each, "left").filter(~F.col("n").eqNullSafe(F.col("m")))
     if not lost.isEmpty():
         raise RuntimeError("archive is incomplete, the originals stay")
     for day in gone:

@@ -6,12 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Times are written with all their six digits; reading takes any number of them.
+EXACT_TIME = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 LOG_COLUMNS = ["topic", "partition", "offset"]
 
 
 def encode(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Each row as one JSON ``value``; null fields are left out."""
-    return df.select(F.to_json(F.struct(*(columns or df.columns))).alias("value"))
+    return df.select(F.to_json(F.struct(*(columns or df.columns)), EXACT_TIME).alias("value"))
 
 
 def decode(messages: DataFrame, schema: T.StructType, keep: list[str] | None = None) -> DataFrame:

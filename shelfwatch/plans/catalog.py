@@ -506,7 +506,7 @@ def offset_progress(spark, sf):
 def _price_log(records: DataFrame) -> DataFrame:
     """Price records as messages of a four-partition log."""
     return records.select(
-        F.to_json(F.struct(*RAW_PRICE.fieldNames())).alias("value"),
+        F.to_json(F.struct(*RAW_PRICE.fieldNames()), messages.EXACT_TIME).alias("value"),
         F.lit("prices").alias("topic"),
         F.pmod(F.xxhash64("file_name"), F.lit(4)).cast("int").alias("partition"),
         F.monotonically_increasing_id().alias("offset"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfwatch.operators import lifecycle
 from shelfwatch.plans import ingest
-from shelfwatch.sinks.tables import path_exists
+from shelfwatch.sinks.tables import empty_files, path_exists, write_once
 from shelfwatch.sources import files
 from shelfwatch.streaming import history, landing
 from shelfwatch.streaming.consume import run_available
@@ -46,16 +46,21 @@ def run_day(
 ) -> DayResult:
     """Land new documents, enrich them, continue the history, then expire and archive old days.
 
+    Damaged files are set aside by name and reason and stop nothing; bad store rows are kept as well.
     Every step picks up where it stopped, so a run that failed anywhere is simply run again. Fact
     and history follow the landed rows on their own checkpoints.
     """
     prices, fact = places.at("prices"), places.at("fact")
     landed = run_available(
-        files.stream_price_items(spark, places.price_inbox),
-        landing.price_file_sink(prices),
+        files.stream_files(spark, places.price_inbox),
+        landing.document_sink(prices),
         places.at("checkpoints/landing"),
     )
-    stores = ingest.good(ingest.store_records(files.read_stores(spark, places.store_inbox)))
+    empty = [(path, "empty") for path in empty_files(spark, places.price_inbox)]
+    write_once(spark.createDataFrame(empty, "path string, reason string"), places.at("prices_empty_files"))
+    records = ingest.store_records(files.read_stores(spark, places.store_inbox))
+    write_once(ingest.quarantined(records), places.at("stores_quarantined"))
+    stores = ingest.good(records)
     enriched = observed = 0
     if path_exists(spark, landing.landed_path(prices)):
         enriched = run_available(

@@ -212,14 +212,14 @@ ORACLES: dict[str, str] = {
     "json_encode": _with(PRICES)
     + """SELECT '{"itemcode":"' || itemcode || '","itemname":"' || itemname || '","itemprice":"' || itemprice
            || '","allowdiscount":"' || allowdiscount || '","file_name":"' || file_name || '","num_reshet":"' || num_reshet
-           || '","num_snif":"' || num_snif || '","file_date":"' || strftime(file_date, '%Y-%m-%dT%H:%M:%S.000Z') || '"}' AS value
+           || '","num_snif":"' || num_snif || '","file_date":"' || strftime(file_date, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}' AS value
          FROM prices""",
     "backfill_messages": _with(STORES)
     + """SELECT '{"storeid":"' || storeid || '","storetype":"' || storetype || '","storename":"' || storename || '"'
            || coalesce(',"address":"' || address || '"', '') || ',"city":"' || city || '"'
            || coalesce(',"zipcode":"' || zipcode || '"', '') || ',"file_name":"' || file_name || '","num_reshet":"' || num_reshet
-           || '","file_date":"' || strftime(file_date, '%Y-%m-%dT%H:%M:%S.000Z')
-           || '","run_time":"' || strftime(run_time, '%Y-%m-%dT%H:%M:%S.000Z') || '"}' AS value FROM stores""",
+           || '","file_date":"' || strftime(file_date, '%Y-%m-%dT%H:%M:%S.%fZ')
+           || '","run_time":"' || strftime(run_time, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}' AS value FROM stores""",
     "json_decode": """SELECT TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, 'prices' AS topic,
            CAST(event_id % 4 AS INTEGER) AS "partition", event_id AS "offset" FROM events""",
     "filename_attrs": _with(PRICES, STORES, _NAMES)
@@ -362,6 +362,6 @@ SELECT * FROM links WHERE starts_with(link, '/')""",
          FROM obs, (VALUES ('fact'), ('parsed')) c(consumer) GROUP BY ALL""",
     "stream_dedup": _with(OBS)
     + """SELECT file_name, CAST(itemcode AS VARCHAR) AS itemcode, CAST(itemprice AS VARCHAR) AS itemprice,
-                CAST(num_reshet AS VARCHAR) AS num_reshet, date_trunc('milliseconds', file_date) AS file_date FROM obs""",
+                CAST(num_reshet AS VARCHAR) AS num_reshet, file_date FROM obs""",
 }
 ORACLES["stream_incremental"] = ORACLES["json_decode"]

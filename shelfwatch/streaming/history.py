@@ -8,6 +8,7 @@ Layout under the root, each directory written by exactly one batch and never cha
 * ``rebuilt/batch=N``               entities the batch rebuilt because late observations touched
   them; their closed versions from earlier batches no longer count
 * ``rejected/batch=N``              rows without a readable key or date, as they came
+* ``finished/batch=N``              written last; goes when the batch's active versions are pruned
 
 An ordinary batch costs as much as the active versions and the batch itself, however long the
 history is. Only late observations make it read the log, and only for the entities they touch.
@@ -69,7 +70,9 @@ def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def read_history(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """The whole history as of a finished batch."""
+    """The whole history as of a finished batch; an unfinished or pruned one is an error."""
+    if not path_exists(spark, f"{root}/finished/batch={batch_id}"):
+        raise ValueError(f"batch {batch_id} was never finished, or its active versions were pruned")
     up_to = F.col("batch") <= batch_id
     versions = _read(spark, f"{root}/versions", _VERSION)
     active = versions.filter((F.col("IsActive") == 1) & (F.col("batch") == batch_id))
@@ -88,7 +91,7 @@ def read_history(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
 
 
 def latest_batch(spark: SparkSession, root: str) -> int | None:
-    return max(map(int, partition_values(spark, f"{root}/versions/IsActive=1", "batch")), default=None)
+    return max(map(int, partition_values(spark, f"{root}/finished", "batch")), default=None)
 
 
 def prune_active(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
@@ -96,9 +99,10 @@ def prune_active(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
 
     The history as of a pruned batch can no longer be read; closed versions and the log stay.
     """
-    batches = sorted(map(int, partition_values(spark, f"{root}/versions/IsActive=1", "batch")))
+    batches = sorted(map(int, partition_values(spark, f"{root}/finished", "batch")))
     gone = batches[: max(len(batches) - max(keep, 1), 0)]
     for batch in gone:
+        delete_path(spark, f"{root}/finished/batch={batch}")
         delete_path(spark, f"{root}/versions/IsActive=1/batch={batch}")
     return gone
 
@@ -144,5 +148,6 @@ def history_sink(schema: T.StructType | None, root: str, chain: str | None = Non
         write_partitioned(
             after.withColumn("batch", F.lit(batch_id)), f"{root}/versions", ["IsActive", "batch"], gather=False
         )
+        write_once(spark.range(1), f"{root}/finished/batch={batch_id}")
 
     return write

@@ -107,5 +107,5 @@ def test_messages_that_do_not_parse(spark):
 def test_encode_leaves_out_nulls_and_round_trips(spark):
     df = spark.createDataFrame([("1", None, dt.datetime(2024, 12, 1, 3))], "itemcode string, itemname string, file_date timestamp")
     encoded = messages.encode(df)
-    assert encoded.first().value == '{"itemcode":"1","file_date":"2024-12-01T03:00:00.000Z"}'
+    assert encoded.first().value == '{"itemcode":"1","file_date":"2024-12-01T03:00:00.000000Z"}'
     assert rows(messages.decode(encoded, df.schema, keep=[])) == rows(df)

@@ -1,5 +1,6 @@
 import datetime as dt
 import gzip
+import os
 import random
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwatch.operators import scd2
+from shelfwatch.operators.messages import decode, encode
 from shelfwatch.plans import daily
 from shelfwatch.sinks.messages import publish_files
 from shelfwatch.sinks.tables import partition_values
@@ -141,6 +143,29 @@ def test_daily_runs(spark, folder):
     assert spark.read.parquet(landing.landed_path(places.at("prices"))).count() == 2
 
 
+def test_damaged_files_stop_nothing(spark, folder):
+    places = daily.Places(f"{folder}/in/prices", f"{folder}/in/stores", f"{folder}/tables")
+    put(places.store_inbox, "Stores7290-202401010600.xml", STORES.encode("utf-16"))
+    chains = spark.createDataFrame([("Chain", 7290)], "reshet_name string, reshet_num long")
+    name, good = price_document(0, "5")
+    put(places.price_inbox, name, good)
+    for n, bad in enumerate([good[:-9], b"no gzip at all", b"", good + good[:20]]):
+        put(places.price_inbox, price_document(n + 1, "7")[0], bad)
+    old = price_document(7, "9")
+    put(places.price_inbox, *old)
+    os.utime(os.path.join(places.price_inbox, old[0]), (0, 0))  # a file whose time was never set
+    done = daily.run_day(spark, places, chains, dt.date.today(), keep_days=36500)
+    assert done.landed == 1
+    status = spark.read.parquet(landing.files_path(places.at("prices")))
+    reasons = {r.path.rsplit("/", 1)[1]: r.reason for r in status.collect()}
+    reasons |= {r.path.rsplit("/", 1)[1]: r.reason for r in spark.read.parquet(places.at("prices_empty_files")).collect()}
+    assert [reasons[price_document(n, "")[0]] for n in (0, 1, 2, 3, 4, 7)] == [None, "truncated", "not_gzip", "empty", "truncated", None]
+    landed = spark.read.parquet(landing.landed_path(places.at("prices")))
+    assert rows(landed, "file_name") == [(name,)] * 2 + [(old[0],)] * 2
+    put(places.price_inbox, *price_document(8, "6"))
+    assert daily.run_day(spark, places, chains, dt.date.today(), keep_days=36500).landed == 1
+
+
 def random_prices(seed, size=70):
     rng = random.Random(seed)
     seen = {}
@@ -180,3 +205,12 @@ def test_ordinary_batches_do_not_rewrite_closed_versions(spark, folder):
     assert history.prune_active(spark, folder) == []
     assert history.latest_batch(spark, folder) == 2
     assert rows(history.read_history(spark, folder, 2)) == before
+    for unreadable in (0, 3):
+        with pytest.raises(ValueError, match="never finished"):
+            history.read_history(spark, folder, unreadable)
+
+
+def test_messages_keep_microseconds(spark):
+    stamp = dt.datetime(2024, 12, 1, 3, 0, 0, 123456)
+    sent = spark.createDataFrame([("1", stamp)], "itemcode string, file_date timestamp")
+    assert decode(encode(sent), sent.schema, keep=[]).collect() == sent.collect()

@@ -71,6 +71,19 @@ def test_archive_moves_whole_days_and_can_be_repeated(spark, folder):
     assert tables.partition_values(spark, stored, "archive_month") == ["2024-01", "2024-02"]
 
 
+def test_late_files_for_an_archived_day_are_added(spark, folder):
+    live, stored = folder + "/live", folder + "/archive"
+    df = daily_rows(spark)
+    tables.write_partitioned(df, live, ["snapshot"])
+    lifecycle.archive(spark, live, stored, day(11))
+    late = df.filter(F.col("snapshot") == F.lit(day(1)))
+    tables.write_partitioned(late, live, ["snapshot"])
+    assert lifecycle.archive(spark, live, stored, day(11)) == [str(day(1))]
+    assert lifecycle.archive(spark, live, stored, day(11)) == []
+    both = spark.read.parquet(live).select("i", "snapshot").union(spark.read.parquet(stored).select("i", "snapshot"))
+    assert rows(both) == rows(df.union(late))
+
+
 def test_incomplete_archive_keeps_the_originals(spark, folder, monkeypatch):
     live, stored = folder + "/live", folder + "/archive"
     tables.write_partitioned(daily_rows(spark), live, ["snapshot"])
