@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from shelfwatch.llm.tables import saved
 
 ROUNDS = 8
-ROWS_PER_BUCKET = 50_000
+ROWS_PER_BUCKET = 5_000
 ROW_BYTES = 16
 # How full a shard a part of a large group may make.
 FILL = 0.9
