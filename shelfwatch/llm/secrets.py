@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwatch.llm.tables import saved
+
 # The strong patterns, by kind, in the order in which kinds are listed. Longest match, then the length.
 ASSIGN = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -113,7 +115,8 @@ def _written(spans: Column) -> Column:
 def secret_spans(docs: DataFrame, scope: int = SCOPE) -> DataFrame:
     """Per document: doc_id, strong and all (arrays of start, end, kind, by start and then kind as listed)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
-    found = docs.mapInArrow(_found, f"doc_id long, row_key long, strong {SPANS}, weak {SPANS}")
+    # Written, so that texts are searched once for the spans and the parts.
+    found = saved(docs.mapInArrow(_found, f"doc_id long, row_key long, strong {SPANS}, weak {SPANS}"), "spans")
     parts = found.filter(F.size("weak") > 0).select("row_key", F.explode(F.concat("strong", "weak")).alias("s")).select("row_key", "s.*")
     weak = linked(parts.distinct(), scope).groupBy("row_key").agg(F.collect_list(F.struct("start", "end", "kind")).alias("added"))
     place = F.create_map(*(x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))))
