@@ -6,8 +6,8 @@ runs that begin at cover positions are hashed and counted, about a quarter of al
 again, the match is extended: every window that holds it is hashed with 96 bits and counted over all documents.
 
 Exact copies are recognised by their digest first: all their windows repeat, and only one copy's windows are counted.
-Anchors and windows are added up before the shuffle and looked up again by semi joins that AQE can split, so neither a
-passage nor a text that a third of the rows share meets in one task.
+Anchors and windows are added up before the shuffle, where a passage that many documents share is one row per task. When
+they are looked up again, a hot one is one row per document beside the hundreds that every document has of its own.
 
 Defined results: a null or empty text has no words; a text shorter than the window loses nothing; repeated rows are
 copies of each other; a null id is kept like any other; columns other than the id and the text are ignored.
@@ -17,9 +17,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwatch.llm.tables import saved
 from shelfwatch.llm.words import SPACE, Words, runs, signed, text_blocks, words_of
 
 # Perfect difference sets by their period.
@@ -32,6 +34,7 @@ COVERS = {
     31: [0, 1, 3, 8, 12, 18],
 }
 SHORTEST_ANCHOR = 12
+NO_ID = -(2**63)
 
 
 def period_for(window: int) -> int:
@@ -59,7 +62,7 @@ def anchors_of(words: Words, window: int) -> tuple[np.ndarray, np.ndarray]:
 def _anchor_rows(window: int):
     def rows(batches):
         for batch in batches:
-            ids = batch.column("row_key").to_numpy()
+            ids = batch.column("key").to_numpy()
             for begin, texts in text_blocks(batch):
                 words = words_of(texts, SPACE)
                 place, anchor = anchors_of(words, window)
@@ -71,12 +74,27 @@ def _anchor_rows(window: int):
                 at = np.flatnonzero(new)
                 times = np.diff(np.append(at, len(key)))
                 yield pa.RecordBatch.from_pydict(
-                    {"anchor": signed(anchor[at]), "row_key": key[at], "times": np.minimum(times, 2).astype(np.int32)}
+                    {"anchor": signed(anchor[at]), "key": key[at], "times": np.minimum(times, 2).astype(np.int32)}
                 )
 
     return rows
 
 
+def _packed(batches):
+    """Texts compressed for the shuffle, and with their hash."""
+    pack = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        texts = [pack.compress(t.as_py()) for t in batch.column("text").fill_null("").cast(pa.large_binary())]
+        columns = [batch.column(c) for c in ("doc_id", "key", "hash")]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.binary())], ["doc_id", "key", "hash", "packed"])
+
+
+def _texts(batch):
+    """The batch's texts again, one at a time."""
+    unpack = zstandard.ZstdDecompressor()
+    return (unpack.decompress(t.as_py()) for t in batch.column("packed"))
+
+
 def _candidates(words: Words, anchors: np.ndarray, window: int) -> np.ndarray:
     """Places of the windows of a single text that hold one of the given anchors where its cover has them."""
     place, value = anchors_of(words, window)
@@ -91,22 +109,22 @@ def _candidates(words: Words, anchors: np.ndarray, window: int) -> np.ndarray:
 
 
 def _window_rows(window: int):
-    """(h1, h2, times, row_key): row_key is null where the window is known to repeat already."""
+    """(h1, h2, times, key): key is null where the window is known to repeat already."""
 
     def rows(batches):
         for batch in batches:
-            keys, texts = batch.column("row_key").to_numpy(), batch.column("text").cast(pa.large_binary())
+            keys = batch.column("key").to_numpy()
             lists, copied, first = (batch.column(c) for c in ("anchors", "copied", "first"))
-            for i in range(batch.num_rows):
+            for i, text in enumerate(_texts(batch)):
                 is_copy = copied[i].as_py()
                 if is_copy and not first[i].as_py() or not is_copy and not lists[i].is_valid:
                     continue
-                words = words_of([texts[i].as_py() or b""], SPACE)
+                words = words_of([text], SPACE)
                 one = runs(words.hash, window)
                 place = np.arange(len(one)) if is_copy else _candidates(words, lists[i].values.to_numpy(), window)
                 if not len(place):
                     continue
-                other = runs(words_of([texts[i].as_py()], SPACE, seed=2).hash, window)
+                other = runs(words_of([text], SPACE, seed=2).hash, window)
                 _, at, times = np.unique(one[place], return_index=True, return_counts=True)
                 place = place[at]
                 known = (times > 1) | is_copy
@@ -115,7 +133,7 @@ def _window_rows(window: int):
                         "h1": signed(one[place]),
                         "h2": (other[place] >> np.uint64(32)).astype(np.uint32).view(np.int32),
                         "times": np.where(known, 2, 1).astype(np.int32),
-                        "row_key": pa.array(np.full(len(place), keys[i]), mask=known),
+                        "key": pa.array(np.full(len(place), keys[i]), mask=known),
                     }
                 )
 
@@ -125,11 +143,9 @@ def _window_rows(window: int):
 def _kept_rows(window: int):
     def rows(batches):
         for batch in batches:
-            texts = batch.column("text").cast(pa.large_binary())
             lists, copied, again = (batch.column(c) for c in ("anchors", "copied", "again"))
             kept, n_words, n_removed = [], [], []
-            for i in range(batch.num_rows):
-                text = texts[i].as_py() or b""
+            for i, text in enumerate(_texts(batch)):
                 split = text.split()
                 gone = np.zeros(len(split) + 1, np.int64)
                 if copied[i].as_py():
@@ -168,34 +184,38 @@ def substring_dedup(docs: DataFrame, window: int = 35, id_col: str = "doc_id", t
     another. Words are runs of characters other than ASCII white space. All judged on the input, not on what is left.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    docs = docs.withColumn("row_key", F.xxhash64("doc_id", "text"))
+    # What is found is looked up by id; texts that share an id tell by their own anchors and hashes what is theirs.
+    docs = docs.withColumn("key", F.coalesce("doc_id", F.lit(NO_ID)))
 
-    anchors = docs.select("row_key", "text").mapInArrow(_anchor_rows(window), "anchor long, row_key long, times int")
+    anchors = docs.select("key", "text").mapInArrow(_anchor_rows(window), "anchor long, key long, times int")
     seen_again = anchors.groupBy("anchor").agg(F.sum("times").alias("n")).filter("n > 1").select("anchor")
     anchored = (
-        anchors.select("anchor", "row_key").join(seen_again, "anchor", "left_semi")
-        .groupBy("row_key").agg(F.collect_set("anchor").alias("anchors"))
+        anchors.select("anchor", "key").join(seen_again, "anchor", "left_semi")
+        .groupBy("key").agg(F.collect_set("anchor").alias("anchors"))
     )
 
-    digests = docs.filter("text is not null").select("row_key", F.unhex(F.md5("text")).alias("digest"))
-    sets = digests.groupBy("digest").agg(F.count("*").alias("n"), F.min("row_key").alias("least")).filter("n > 1")
+    digests = docs.filter("text is not null").select("key", F.unhex(F.md5("text")).alias("digest"), F.xxhash64("text").alias("hash"))
+    sets = digests.groupBy("digest").agg(F.count("*").alias("n"), F.min("key").alias("least")).filter("n > 1")
+    # Written, so that both sides of the join are plain shuffles and AQE can split a digest that many rows have.
+    sets = saved(sets.drop("n"), "copies")
     copies = (
-        digests.join(sets, "digest").groupBy("row_key")
-        .agg(F.lit(True).alias("copied"), F.max(F.col("row_key") == F.col("least")).alias("first"))
+        digests.join(sets, "digest").groupBy("key")
+        .agg(F.collect_set("hash").alias("copies"), F.collect_set(F.when(F.col("key") == F.col("least"), F.col("hash"))).alias("firsts"))
     )
 
-    known = anchored.join(copies, "row_key", "full").select(
-        "row_key", "anchors", F.coalesce("copied", F.lit(False)).alias("copied"), F.coalesce("first", F.lit(False)).alias("first")
+    known = anchored.join(copies, "key", "full")
+    hashed = docs.select("doc_id", "key", F.xxhash64("text").alias("hash"), "text")
+    packed = hashed.mapInArrow(_packed, "doc_id long, key long, hash long, packed binary")
+    work = packed.join(known, "key", "left").select(
+        "doc_id", "key", "packed", "anchors",
+        *(F.coalesce(F.array_contains(c, F.col("hash")), F.lit(False)).alias(n) for c, n in (("copies", "copied"), ("firsts", "first"))),
     )
-    work = docs.join(known, "row_key", "left").withColumns(
-        {c: F.coalesce(F.col(c), F.lit(False)) for c in ("copied", "first")}
-    )
-    windows = work.mapInArrow(_window_rows(window), "h1 long, h2 int, times int, row_key long")
+    windows = work.mapInArrow(_window_rows(window), "h1 long, h2 int, times int, key long")
     repeated = windows.groupBy("h1", "h2").agg(F.sum("times").alias("n")).filter("n > 1").select("h1", "h2")
     again = (
-        windows.filter("row_key is not null").select("h1", "h2", "row_key").join(repeated, ["h1", "h2"], "left_semi")
-        .groupBy("row_key").agg(F.collect_set("h1").alias("again"))
+        windows.filter("key is not null").select("h1", "h2", "key").join(repeated, ["h1", "h2"], "left_semi")
+        .groupBy("key").agg(F.collect_set("h1").alias("again"))
     )
-    return work.join(again, "row_key", "left").mapInArrow(
+    return work.join(again, "key", "left").mapInArrow(
         _kept_rows(window), "doc_id long, n_words long, n_removed long, kept_text string"
     )
