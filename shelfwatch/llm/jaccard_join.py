@@ -10,8 +10,13 @@ How many segments a band has is raised until every set finds its units, so no se
 
 Each key's members are read in order as a stream. Pairs are not spelled out within a group: the first round verifies
 each set against the one member it shares most keys with, linked sets are contracted, and only pairs of different
-components are looked at again, in the end all that a key still puts together. Sets that are equal were one from the
-start. Verification is exact on whole sets of 64-bit shingle hashes.
+components are looked at again, in the end all that a key still puts together: first for some of the keys, then,
+contracted again, for the rest. A set that searches more segments than it may differ in must share the surplus of keys
+with whatever it links with, so sets that meet others in fewer keys are passed over then. Sets that are equal were one
+from the start.
+
+A parity sketch bounds the differences of two sets from below (each differing shingle flips one bit), so most pairs
+that cannot link are dropped before their sets are fetched. Verification is exact on whole sets of 64-bit hashes.
 
 Defined results: a null or empty text, or one without words, has no shingles and links with nothing; one with fewer
 words than the n-gram has a single shingle; rows that repeat an id are one document, as are all null ids (returned
@@ -22,13 +27,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwatch.llm.components import components
-from shelfwatch.llm.tables import saved
+from shelfwatch.llm.tables import saved, small
 from shelfwatch.llm.words import SPACE, combine, mix, runs, signed, text_blocks, words_of
-from shelfwatch.operators.lookup import BROADCAST_BYTES, measured_bytes
 
 NO_ID = -(2**63)
 BAND_RATIO = 1.6
@@ -38,6 +42,11 @@ DELETABLE = 0.06
 # A shingle is common if so large a part of a batch's documents has it, and of all; at most so many are told apart.
 COMMON = 0.005
 COMMON_KEPT = 100_000
+# Sketches have a 64-bit word for so many shingles, at most so many words; always a power of two.
+SHINGLES_PER_WORD = 16
+SKETCH_WORDS = 32
+# The keys of the first of the last rounds: one in so many.
+FIRST_KEYS = 16
 EDGES = [1, 2, 3, 4]
 while EDGES[-1] < 2**40:
     EDGES.append(int(EDGES[-1] * BAND_RATIO))
@@ -77,6 +86,31 @@ class Sets:
         return out[0], out[1]
 
 
+    def sketches(self) -> pa.ListArray:
+        """Per document the parity of how many of its shingles fall on each bit."""
+        words = np.ceil(np.log2(np.clip(self.size / SHINGLES_PER_WORD, 1, SKETCH_WORDS))).astype(np.int64)
+        words = np.left_shift(1, words)
+        base = np.concatenate([[0], np.cumsum(64 * words)])
+        bit = (mix(self.mixed ^ np.uint64(0x0DD)) & (64 * words[self.doc] - 1).astype(np.uint64)).astype(np.int64)
+        parity = np.bincount(base[self.doc] + bit, minlength=base[-1]) & 1
+        packed = np.packbits(parity.astype(np.uint8), bitorder="little").view("<i8")
+        return pa.ListArray.from_arrays((base // 64).astype(np.int32), packed)
+
+
+def may_link(x: Column, y: Column, size_x: Column, size_y: Column, percent: int) -> Column:
+    """Whether the sketches allow so few differences that the sets may link. Exact in what it rules out."""
+
+    def folded(s, other):
+        half = (F.size(s) / 2).cast("int")
+        fold = F.zip_with(F.slice(s, 1, half), F.slice(s, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+        return F.when(F.size(s) > F.size(other), fold).otherwise(s)
+
+    apart = F.aggregate(
+        F.zip_with(folded(x, y), folded(y, x), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, k: n + k
+    )
+    return (100 + percent) * apart <= (100 - percent) * (size_x + size_y)
+
+
 def band_of(size: np.ndarray) -> np.ndarray:
     return np.searchsorted(EDGES, size, "right") - 1
 
@@ -130,9 +164,11 @@ class Segments:
         """How many segments each document has something in."""
         return self._count(self.held > 0)
 
-    def allocate(self, differ: np.ndarray, only_needed: bool) -> tuple[np.ndarray, np.ndarray]:
+    def allocate(self, differ: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Segments to search as they are, and those to search with one difference: more units than `differ`.
 
+        Also of how many of the former a document has at least one in common with whatever it links with.
+
         As every filled segment gives a unit, there are enough wherever more than `differ` are filled.
         """
         need = differ + 1
@@ -141,9 +177,8 @@ class Segments:
         near = self._first(self.deletable & (self.rare > 1), np.maximum(missing, 0))
         missing = missing - self._count(near)
         late = self._first((self.held > 0) & ~exact, np.maximum(missing, 0))
-        if only_needed:
-            exact = self._first(exact, need)
-        return exact | late, near
+        exact |= late
+        return exact, near, np.maximum(self._count(exact) - differ, 1)
 
 
 def differences(size: np.ndarray, other: np.ndarray, percent: int) -> np.ndarray:
@@ -173,7 +208,7 @@ def _statistics(ngram: int, percent: int):
             for begin, texts in text_blocks(batch):
                 sets = Sets(texts, ngram)
                 d1, d2 = sets.digests()
-                yield _rows(0, batch.column("doc_id").slice(begin, len(texts)), sets.size, signed(d1), signed(d2))
+                yield _rows(0, batch.column("doc_id").slice(begin, len(texts)), sets.size, signed(d1), signed(d2), sets.sketches())
                 for _, docs, band, other in _bands_searched(sets.size, percent):
                     attempt = 0
                     while len(docs):
@@ -189,20 +224,26 @@ def _statistics(ngram: int, percent: int):
     return rows
 
 
-STATS = "kind int, doc_id long, size long, d1 long, d2 long"
+STATS = "kind int, doc_id long, size long, d1 long, d2 long, sketch array<long>"
 
 
-def _rows(kind, doc_id, size, *digests):
+def _rows(kind, doc_id, size, *more):
     n = len(size)
-    d1, d2 = digests or (np.zeros(n, np.int64), np.zeros(n, np.int64))
+    d1, d2, sketch = more or (np.zeros(n, np.int64), np.zeros(n, np.int64), pa.nulls(n, pa.list_(pa.int64())))
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, kind, np.int32)), pa.array(doc_id, pa.int64()), pa.array(size, pa.int64()), pa.array(d1), pa.array(d2)],
-        ["kind", "doc_id", "size", "d1", "d2"],
-    )
+        [
+            pa.array(np.full(n, kind, np.int32)), pa.array(doc_id, pa.int64()), pa.array(size, pa.int64()),
+            pa.array(d1), pa.array(d2), sketch,
+        ],
+        ["kind", "doc_id", "size", "d1", "d2", "sketch"],
+    )
 
 
 def _keys(ngram: int, percent: int, plan):
-    """(key, doc_id, searching): what each set is indexed by, and what it searches for. Equal sets of a task: once."""
+    """(key, doc_id, searching): what each set is indexed by, and what it searches for. Equal sets of a task: once.
+
+    searching: in how many such keys it meets at least whatever it links with; 0 for what is only indexed.
+    """
 
     def rows(batches):
         common_sorted, attempts = plan.value
@@ -224,19 +265,20 @@ def _keys(ngram: int, percent: int, plan):
                     if not len(docs):
                         continue
                     seen = Segments(sets, docs, band, attempts[band], percent, common)
-                    exact, near = seen.allocate(differences(sets.size[docs], other, percent), step > 0)
-                    yield from _key_rows(seen, sets, ids[begin + docs], exact, near, index=step == 0)
+                    exact, near, shared = seen.allocate(differences(sets.size[docs], other, percent))
+                    yield from _key_rows(seen, sets, ids[begin + docs], exact, near, shared, index=step == 0)
 
     return rows
 
 
-def _key_rows(seen: Segments, sets: Sets, ids, exact, near, index: bool):
+def _key_rows(seen: Segments, sets: Sets, ids, exact, near, shared, index: bool):
     def batch(group, total, held, space, searching):
+        searching = np.where(searching, shared[seen.doc[group]], 0).astype(np.int32)
         return pa.RecordBatch.from_pydict(
             {
                 "key": signed(seen.key(total, held, group, space)),
                 "doc_id": ids[seen.doc[group]],
-                "searching": np.broadcast_to(searching, len(group)).copy(),
+                "searching": searching,
             }
         )
 
@@ -254,32 +296,32 @@ def _key_rows(seen: Segments, sets: Sets, ids, exact, near, index: bool):
 def _members(batches):
     """Of rows in order of key, searching members first: those of groups with two members or more, and the first one.
 
-    A group is never held: what a batch leaves open is its last key, that key's first member and the last row.
+    A group is never held: what a batch leaves open is its last row, whether that was given out, and its group's first
+    member.
     """
-    held = None  # the last row: key, doc_id, searching; whether it was given out; the first member of its group
+    held = None  # the last row: key, doc_id, searching; whether it was given out; its group's first member, and its use
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, doc, searching = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "doc_id", "searching"))
+        key, doc, searching = (batch.column(c).to_numpy() for c in ("key", "doc_id", "searching"))
         if held is not None:
             key, doc, searching = np.append(held[0], key), np.append(held[1], doc), np.append(held[2], searching)
         new = np.ones(len(key), bool)
         new[1:] = key[1:] != key[:-1]
-        start = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-        first, usable = doc[start], searching[start]
+        begins = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        first, usable = doc[begins][group], searching[begins][group] > 0
         if held is not None:
-            same = start == 0
+            same = group == 0
             first, usable = np.where(same, held[4], first), np.where(same, held[5], usable)
         grouped = np.zeros(len(key), bool)
         grouped[1:] |= ~new[1:]
         grouped[:-1] |= ~new[1:]
-        if held is not None:
-            grouped[0] = grouped[0] and not held[3]
+        if held is not None and held[3]:
+            grouped[0] = False
         out = grouped & usable
-        yield pa.RecordBatch.from_pydict(
-            {"key": key[out], "doc_id": doc[out], "searching": searching[out], "first": first[out]}
-        )
-        given = bool(len(key) > 1 and not new[-1]) or (held is not None and len(key) == 1 and held[3])
+        yield pa.RecordBatch.from_pydict({"key": key[out], "doc_id": doc[out], "searching": searching[out], "first": first[out]})
+        given = bool(len(key) > 1 and not new[-1])
         held = (key[-1], doc[-1], searching[-1], given, first[-1], usable[-1])
 
 
@@ -318,9 +360,11 @@ class Join:
         spark = docs.sparkSession
         stats = saved(docs.mapInArrow(_statistics(ngram, percent), STATS), "statistics")
         sizes = stats.filter("kind = 0").select("doc_id", "size", "d1", "d2")
-        same = sizes.filter("size > 0").groupBy("size", "d1", "d2").agg(F.min("doc_id").alias("set_id"))
+        same = saved(sizes.filter("size > 0").groupBy("size", "d1", "d2").agg(F.min("doc_id").alias("set_id")), "distinct")
         named = sizes.join(same, ["size", "d1", "d2"], "left")
         self.sizes = saved(named.select("doc_id", "size", F.coalesce("set_id", "doc_id").alias("set_id")), "sizes")
+        sketched = stats.filter("kind = 0 AND size > 0").join(same.withColumnRenamed("set_id", "doc_id"), ["doc_id", "size", "d1", "d2"], "left_semi")
+        self.sketches = saved(sketched.select(F.col("doc_id").alias("set_id"), "size", "sketch").distinct(), "sketches")
         self.plan = spark.sparkContext.broadcast((self._common(stats), self._attempts(stats)))
 
     def _common(self, stats: DataFrame) -> np.ndarray:
@@ -337,25 +381,30 @@ class Join:
         return out
 
     def members(self) -> DataFrame:
-        keys = self.docs.mapInArrow(_keys(self.ngram, self.percent, self.plan), "key long, doc_id long, searching boolean")
+        keys = self.docs.mapInArrow(_keys(self.ngram, self.percent, self.plan), "key long, doc_id long, searching int")
         ordered = keys.repartition("key").sortWithinPartitions("key", F.desc("searching"), "doc_id")
-        return saved(ordered.mapInArrow(_members, "key long, doc_id long, searching boolean, first long"), "members")
+        return saved(ordered.mapInArrow(_members, "key long, doc_id long, searching int, first long"), "members")
 
     def as_sets(self, pairs: DataFrame) -> DataFrame:
-        """Pairs of documents as pairs of different sets that their sizes allow, with how often they were found."""
-        one = self.sizes.select(F.col("doc_id").alias("x"), F.col("set_id").alias("a"), F.col("size").alias("size_a"))
-        two = self.sizes.select(F.col("doc_id").alias("y"), F.col("set_id").alias("b"), F.col("size").alias("size_b"))
-        low, high = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
-        return (
-            pairs.join(one, "x").join(two, "y").filter((F.col("a") != F.col("b")) & (100 * low >= self.percent * high))
+        """Pairs of documents as pairs of different sets that may link, with how often they were found."""
+        one = small(self.sizes.select(F.col("doc_id").alias("x"), F.col("set_id").alias("a")))
+        two = small(self.sizes.select(F.col("doc_id").alias("y"), F.col("set_id").alias("b")))
+        sets = (
+            pairs.join(one, "x").join(two, "y").filter(F.col("a") != F.col("b"))
             .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("n").alias("n"))
         )
+        one = self.sketches.toDF("a", "size_a", "sketch_a")
+        two = self.sketches.toDF("b", "size_b", "sketch_b")
+        return sets.join(one, "a").join(two, "b").filter(self.fits("")).select("a", "b", "n").dropDuplicates(["a", "b"])
+
+    def fits(self, prefix: str) -> Column:
+        size_a, size_b, a, b = (F.col(f"{prefix}{c}") for c in ("size_a", "size_b", "sketch_a", "sketch_b"))
+        sizes = 100 * F.least(size_a, size_b) >= self.percent * F.greatest(size_a, size_b)
+        return F.when(sizes, may_link(a, b, size_a, size_b, self.percent)).otherwise(False)
 
     def sets_of(self, pairs: DataFrame) -> DataFrame:
         wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
-        if measured_bytes(wanted) <= BROADCAST_BYTES:
-            wanted = F.broadcast(wanted)
-        found = self.docs.join(wanted, "doc_id", "left_semi").mapInArrow(_set_rows(self.ngram), "doc_id long, shingles array<long>")
+        found = self.docs.join(small(wanted), "doc_id", "left_semi").mapInArrow(_set_rows(self.ngram), "doc_id long, shingles array<long>")
         return saved(found, "sets")
 
     def links(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -379,11 +428,15 @@ class Join:
         links = links.union(self.links(rest, sets))
         groups = components(links)
 
-        left = self.apart(self.within_keys(members, groups), groups)
-        left = saved(left.join(best.union(rest), ["a", "b"], "left_anti"), "round")
-        if left.take(1):
-            links = links.union(self.links(left, self.sets_of(left)))
-            groups = components(links)
+        done = best.union(rest)
+        members = self.named(members)
+        for part in (FIRST_KEYS, 1):
+            members = self.mixed(members, groups)
+            left = saved(self.within_keys(members, part).join(done, ["a", "b"], "left_anti"), "round")
+            if left.take(1):
+                links = links.union(self.links(left, self.sets_of(left)))
+                done = done.union(left)
+                groups = components(links)
         return groups
 
     def apart(self, pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -393,21 +446,48 @@ class Join:
         same = F.coalesce("group_a", "a") == F.coalesce("group_b", "b")
         return pairs.join(one, "a", "left").join(two, "b", "left").filter(~same).select("a", "b")
 
-    def within_keys(self, members: DataFrame, groups: DataFrame) -> DataFrame:
-        """All pairs of different components that a key still puts together."""
-        named = members.join(self.sizes, "doc_id").join(
-            groups.select(F.col("node").alias("set_id"), "component"), "set_id", "left"
+    def named(self, members: DataFrame) -> DataFrame:
+        """Members of keys by set."""
+        return members.join(small(self.sizes.select("doc_id", "set_id")), "doc_id").select("key", "set_id", "searching")
+
+    def mixed(self, named: DataFrame, groups: DataFrame) -> DataFrame:
+        """The members of keys that hold different components, with these."""
+        found = small(groups.select(F.col("node").alias("set_id"), F.col("component").alias("found")))
+        named = named.select("key", "set_id", "searching").join(found, "set_id", "left")
+        named = named.select("key", "set_id", "searching", F.coalesce("found", "set_id").alias("component"))
+        # One shuffle: what a key holds is compared beside its rows. Copies of a set in different tasks are one.
+        whole = Window.partitionBy("key")
+        named = named.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)})
+        return saved(named.filter("low != high").drop("low", "high").distinct(), "apart")
+
+    def within_keys(self, mixed: DataFrame, part: int) -> DataFrame:
+        """Pairs of different components that one in `part` keys puts together and that may link."""
+        searching = mixed.filter("searching > 0")
+        # Whoever meets others in fewer keys than it shares with any set it links with, links with none of them.
+        able = searching.groupBy("set_id", "searching").agg(F.count("*").alias("n")).filter("n >= searching")
+        searching = searching.join(saved(able.drop("n"), "able"), ["set_id", "searching"], "left_semi")
+        # Near copies have hundreds of keys in common. Of keys with the same members, of whom the same are searching,
+        # one is enough; they are told by hashes over the members and over those.
+        marked = lambda rows, name: rows.groupBy("key").agg(
+            *(F.bit_xor(F.xxhash64("set_id", "searching", F.lit(salt))).alias(f"{name}_{salt}") for salt in (1, 2)), F.count("*").alias(name)
+        )
+        alike = marked(searching, "able").join(marked(mixed.select("key", "set_id", "searching"), "all"), "key")
+        one = alike.groupBy("able_1", "able_2", "able", "all_1", "all_2", "all").agg(F.min("key").alias("key")).select("key")
+        searching = searching.join(saved(one, "keys"), "key", "left_semi")
+        searching = saved(searching.filter(F.pmod(F.xxhash64("key"), F.lit(part)) == 0), "searching")
+        others = mixed.join(searching.select("key").distinct(), "key", "left_semi")
+        # Written, so that both sides of the join below are plain shuffles, of which AQE can split the large ones.
+        columns = ("set_id", "size", "sketch", "component")
+        x, y = (
+            saved(rows.select("key", "set_id", "component").distinct().join(self.sketches, "set_id"), "apart").select(
+                "key", *(F.col(c).alias(f"{c}_{side}") for c in columns)
+            )
+            for rows, side in ((searching, "a"), (others, "b"))
         )
-        named = named.select("key", "set_id", "size", "searching", F.coalesce("component", "set_id").alias("component"))
-        mixed = named.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        named = saved(named.join(mixed.filter("low != high").select("key"), "key", "left_semi").distinct(), "apart")
-        x, y = named.alias("x"), named.alias("y")
-        fits = (F.col("x.key") == F.col("y.key")) & F.col("x.searching") & (F.col("x.component") != F.col("y.component")) & (
-            100 * F.least("x.size", "y.size") >= self.percent * F.greatest("x.size", "y.size")
+        found = x.alias("x").join(
+            y.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("component_a") != F.col("component_b")) & self.fits("")
         )
-        return x.join(y, fits).select(
-            F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")
-        ).distinct()
+        return found.select(F.least("set_id_a", "set_id_b").alias("a"), F.greatest("set_id_a", "set_id_b").alias("b")).distinct()
 
 
 def jaccard_components(docs: DataFrame, ngram: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfwatch.llm import jaccard_join
 from shelfwatch.llm.components import components
@@ -85,7 +86,7 @@ def test_equals_brute_force(spark, seed):
 
 
 def test_common_shingles_and_no_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr("shelfwatch.llm.tables.BROADCAST_BYTES", -1)
     passage = prose(3, 120)
     texts = [" ".join(passage[: 100 + k % 20] + prose(900 + k, 20 + k % 50)) for k in range(60)]
     check(spark, texts + [" ".join(edited(passage, k, 3)) for k in range(60)])
@@ -105,8 +106,27 @@ def test_allocation_gives_the_units():
     common = np.arange(len(sets.value)) % 3 > 0
     seen = Segments(sets, docs, band_of(sets.size), np.zeros(20, int), 75, common)
     differ = differences(sets.size, sets.size, 75)
-    exact, near = seen.allocate(differ, True)
-    assert near.any() and (seen._count(exact) + seen._count(near) > differ).all()
+    exact, near, shared = seen.allocate(differ)
+    assert near.any() and (seen._count(exact) + 2 * seen._count(near) > differ).all() and (shared >= 1).all()
+
+
+def test_sketches_never_rule_out_a_link(spark):
+    base = prose(1, 400)
+    texts = [" ".join(edited(base, k, k)) for k in range(20)] + [" ".join(base[: 300 + 5 * k]) for k in range(20)]
+    sets = Sets([t.encode() for t in texts], 5)
+    rows = list(zip(range(len(texts)), sets.size.tolist(), sets.sketches().to_pylist()))
+    df = spark.createDataFrame(rows, "i long, size long, sketch array<long>")
+    pairs = df.toDF("i", "m", "s").crossJoin(df.toDF("j", "n", "t"))
+    fits = jaccard_join.may_link(F.col("s"), F.col("t"), F.col("m"), F.col("n"), 75)
+    held = [shingles(t) for t in texts]
+    few = 0
+    for r in pairs.select("i", "j", fits.alias("fits")).collect():
+        a, b = held[r.i], held[r.j]
+        if 100 * len(a & b) >= 75 * len(a | b):
+            assert r.fits
+        elif not r.fits:
+            few += 1
+    assert few > 100
 
 
 def test_empty_repeated_null_ids_and_clashing_columns(spark):
