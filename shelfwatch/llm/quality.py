@@ -6,7 +6,9 @@ each labeller's accuracies and every pattern's posterior. Annotated labels, wher
 Two heuristics against toxicity use words and word beginnings that annotated toxic rows have far more often.
 
 A linear scorer on hashed features (words, word beginnings, steps of the documents' statistics) learns the posteriors
-of a bounded sample of annotated rows, and then scores every document. All statistics and votes are of whole texts.
+of two bounded samples, of annotated rows and of others, and then scores every document. An annotation decides for its
+row; what the scorer learns of kinds of junk that no annotated row shows comes from the votes on the others. All
+statistics and votes are of whole texts.
 
 Defined results: a null or empty text has no features; it is scored by the bias alone and never rejected, as nothing
 speaks against it. Without annotated rows there is nothing to fit: documents are judged by the votes' posteriors.
@@ -26,12 +28,14 @@ from pyspark.sql import functions as F
 from shelfwatch.llm.tables import saved, small
 from shelfwatch.llm.words import NOT_ALNUM, SPACE, combine, mix, text_blocks, words_of
 
-# The bound of the training sample, in annotated rows.
+# The bound of each training sample: annotated rows, and others.
 TRAINING_ROWS = 10_000
 BUCKETS = 1 << 18
 FEATURES = 8192
 BEGINNING = 5
 NONE, GOOD, BAD = 0, 1, 2
+# Posteriors from here on tell which features are chosen.
+SURE = 0.9
 # How often an annotation is taken to be right.
 ANNOTATED = 0.995
 
@@ -241,8 +245,9 @@ def _sample_features(batches):
             text, bucket = Block(texts).features()
             first = np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(first, pa.array(bucket.astype(np.int32)))
-            labels = [batch.column(c).slice(begin, len(texts)) for c in ("doc_id", "quality", "toxic")]
-            yield pa.RecordBatch.from_arrays([*labels, lists], ["doc_id", "quality", "toxic", "features"])
+            names = ["doc_id", "hash", "quality", "toxic", "known"]
+            labels = [batch.column(c).slice(begin, len(texts)) for c in names]
+            yield pa.RecordBatch.from_arrays([*labels, lists], [*names, "features"])
 
 
 def _vote_rows(lexicon):
@@ -254,10 +259,11 @@ def _vote_rows(lexicon):
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(begin, len(texts)),
+                        batch.column("hash").slice(begin, len(texts)),
                         pa.array(pattern_of(quality_votes(block))),
                         pa.array(pattern_of(toxicity_votes(block, known))),
                     ],
-                    ["doc_id", "quality_votes", "toxicity_votes"],
+                    ["doc_id", "hash", "quality_votes", "toxicity_votes"],
                 )
 
     return rows
@@ -289,11 +295,13 @@ def _labelled(labels: DataFrame) -> DataFrame:
 
 
 class Sample:
-    """The training rows: ids, votes, and their features as (row, bucket)."""
+    """The training rows: ids, hashes of texts, annotations, and their features as (row, bucket)."""
 
-    def __init__(self, found: DataFrame):
-        table = found.toArrow()
-        self.ids, self.quality, self.toxic = (table.column(c).to_numpy() for c in ("doc_id", "quality", "toxic"))
+    def __init__(self, found: DataFrame, training_rows: int):
+        # Rows that repeat an id don't raise the bound.
+        parts = [found.filter(k).orderBy("doc_id", "hash").limit(training_rows).toArrow() for k in ("known", "NOT known AND size(features) > 0")]
+        table = pa.concat_tables(parts if parts[0].num_rows else parts[:1])
+        self.ids, self.hash, self.quality, self.toxic = (table.column(c).to_numpy() for c in ("doc_id", "hash", "quality", "toxic"))
         lists = table.column("features").combine_chunks()
         self.row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
         self.bucket = lists.values.to_numpy()[lists.offsets[0].as_py() :] if len(lists) else np.zeros(0, np.int32)
@@ -313,15 +321,19 @@ class Model:
 
     def __init__(self, docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS):
         self.spark = docs.sparkSession
-        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("hash"))
         labelled = saved(_labelled(labels), "labels")
-        # The sample has a documented bound, so it may be sent to every task.
-        sample = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(training_rows)
-        known = docs.join(F.broadcast(saved(sample, "sample")), "doc_id")
-        found = known.mapInArrow(_sample_features, "doc_id long, quality int, toxic int, features array<int>")
-        # Rows that repeat an id don't raise the bound.
-        sample = Sample(saved(found, "features").orderBy("doc_id").limit(training_rows))
-        self.votes = saved(docs.mapInArrow(_vote_rows(self._lexicon(sample)), "doc_id long, quality_votes long, toxicity_votes long"), "votes")
+        # The samples have a documented bound, so they may be sent to every task.
+        order = (F.xxhash64("doc_id"), "doc_id")
+        sample = labelled.orderBy(*order).limit(training_rows).withColumn("known", F.lit(True))
+        others = docs.select("doc_id").filter("doc_id IS NOT NULL").join(small(labelled), "doc_id", "left_anti").orderBy(*order).limit(training_rows)
+        silent = [F.lit(NONE).alias(c) for c in ("quality", "toxic")]
+        sample = sample.union(others.distinct().select("doc_id", *silent, F.lit(False)))
+        drawn = docs.join(F.broadcast(saved(sample, "sample")), "doc_id")
+        found = drawn.mapInArrow(_sample_features, "doc_id long, hash long, quality int, toxic int, known boolean, features array<int>")
+        sample = Sample(saved(found, "features"), training_rows)
+        votes = docs.mapInArrow(_vote_rows(self._lexicon(sample)), "doc_id long, hash long, quality_votes long, toxicity_votes long")
+        self.votes = saved(votes, "votes")
         pairs = self.votes.join(labelled, "doc_id", "left")
         self.has_lexicon = len(sample.ids) > 0
         self.accuracies, self.posterior = {}, {}
@@ -345,16 +357,17 @@ class Model:
         if not len(sample.ids):
             return None
         ids = self.spark.createDataFrame([(int(i),) for i in np.unique(sample.ids)], "doc_id long")
-        rows = {r.doc_id: r for r in pairs.join(F.broadcast(ids), "doc_id").collect()}
+        drawn = pairs.join(F.broadcast(ids), "doc_id").distinct().collect()
+        rows = {(r.doc_id, r.hash): r for r in drawn}
+        drawn = [rows[k] for k in zip(sample.ids.tolist(), sample.hash.tolist())]
         out = []
-        for name, own, votes, label in (("bad", sample.quality, "quality_votes", "quality"), ("toxic", sample.toxic, "toxicity_votes", "toxic")):
-            strength = np.abs(sample.association(own))
+        for name, votes, label in (("bad", "quality_votes", "quality"), ("toxic", "toxicity_votes", "toxic")):
+            target = np.array([self.posterior[name][r[votes] * 3 + (r[label] or NONE)] for r in drawn])
+            strength = np.abs(sample.association(np.select([target >= SURE, target <= 1 - SURE], [BAD, GOOD], NONE)))
             chosen = np.sort(np.argsort(-strength, kind="stable")[:FEATURES])
             chosen = chosen[strength[chosen] > 4]
             place = np.full(BUCKETS, -1)
             place[chosen] = np.arange(len(chosen))
-            patterns = [rows[i][votes] * 3 + rows[i][label] for i in sample.ids.tolist()]
-            target = np.array([self.posterior[name][k] for k in patterns])
             column = place[sample.bucket]
             fitted = train(sample.row[column >= 0], column[column >= 0], target, len(chosen))
             weight = np.zeros(BUCKETS)

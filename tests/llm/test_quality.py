@@ -79,6 +79,13 @@ def test_rejects_what_annotators_reject(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(k for k in got if not got[k].rejected)
 
 
+def test_junk_that_no_annotation_shows_is_learnt_from_the_votes(spark):
+    texts, labels = corpus(spark)
+    plain = [(k, 1, t) for k, _, t in labels if k % 6 != 1]
+    got = by_id(score_documents(docs_of(spark, texts), spark.createDataFrame(plain, LABELS)))
+    assert all(got[k].rejected for k in range(1, 240, 6)) and not any(got[k].rejected for k in range(2, 240, 6))
+
+
 def test_without_annotations_the_votes_judge(spark):
     texts, _ = corpus(spark)
     docs = docs_of(spark, texts + [None, ""])
