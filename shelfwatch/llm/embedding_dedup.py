@@ -3,8 +3,10 @@
 Equal vectors are one node with a count. A neighbour graph begins with vectors that random projections sort next to
 each other, and is refined by neighbours-of-neighbours joins: around every node, its neighbours and those it is a
 neighbour of meet and are compared with each other, and each keeps the best. All pairs at or above the threshold that
-any comparison finds are kept as links. Recall is audited: a bounded number of nodes is compared with all vectors, and
-while too few of their links were found, further projections and joins follow.
+any comparison finds are kept as links. How many projections there are follows the number of nodes. Recall is audited:
+nodes are drawn and compared with all vectors until they have enough links, and while too few of these were found,
+further projections and joins follow. If that no longer helps, the search fails; if the most that is drawn has too few
+links to judge by, it warns.
 
 Where lists are saturated with links, they are enlarged to the node's whole component: its members are compared in
 blocks of bounded size, and what comes back is a count per member and block, not a pair. So inside components counts
@@ -18,6 +20,9 @@ before all others and is shown as null; columns other than the id and the vector
 
 from __future__ import annotations
 
+import math
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -28,12 +33,18 @@ from shelfwatch.llm.tables import saved, small
 
 NO_ID = -(2**63)
 NEIGHBOURS = 8
+# Projections up to PROJECTED_NODES nodes; beyond, as many as keep a lone pair's chance of meeting in one of them.
 TABLES = 10
+PROJECTED_NODES = 10_000
 PLANES = 40
 WINDOW = 64
 JOINS = 2
+# Nodes of the first draw of the audit, each further one twice as large; draws at most; links that are enough.
 AUDITED = 1024
+DRAWS = 5
+AUDITED_LINKS = 500
 RECALL = 0.98
+# Attempts in a row that may raise recall by nothing.
 ATTEMPTS = 4
 BLOCK = 256
 EDGES = "a long, b long, similarity double"
@@ -168,6 +179,19 @@ def _counts(threshold: float):
     return counts
 
 
+def rounds_of_tables(nodes: int, threshold: float) -> int:
+    """How many times TABLES projections so many nodes need: a pair at the threshold meets if it shares enough signs."""
+
+    def miss(n: int) -> float:
+        """The logarithm of the chance that one projection keeps a pair apart."""
+        shared = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** max(0.0, math.log2(n / WINDOW))
+        return math.log1p(-shared) if shared < 1 else -math.inf
+
+    if nodes <= PROJECTED_NODES or miss(nodes) == -math.inf:
+        return 1
+    return max(1, math.ceil(miss(PROJECTED_NODES) / miss(nodes)))
+
+
 class Descent:
     """The neighbour graph of some nodes, and the links found."""
 
@@ -175,6 +199,7 @@ class Descent:
         self.nodes, self.threshold = nodes, threshold
         self.links: DataFrame | None = None
         self.graph: DataFrame | None = None
+        self.audit: DataFrame | None = None
 
     def add(self, edges: DataFrame) -> None:
         """Takes in comparisons: the best of each node's list stay, and all links."""
@@ -204,11 +229,11 @@ class Descent:
         ordered = meeting.repartition("center").sortWithinPartitions("center", "node")
         self.add(ordered.mapInArrow(_met(self.threshold), EDGES))
 
-    def recall(self, groups: DataFrame, seed: int) -> float:
-        """Of the links of a bounded number of nodes, the share whose ends were joined, against all vectors."""
-        sample = self.nodes.orderBy(F.xxhash64("node", F.lit(seed))).limit(AUDITED).select("node", "unit").toArrow()
+    def _drawn(self, first: int, n: int) -> DataFrame | None:
+        """All links of n nodes from the first-th on in an order by hash, or None if there is no such node."""
+        sample = self.nodes.orderBy(F.xxhash64("node"), "node").offset(first).limit(n).select("node", "unit").toArrow()
         if not sample.num_rows:
-            return 1.0
+            return None
         known = [(sample.column("node").to_numpy()[rows], vectors) for rows, vectors in _units(sample.combine_chunks().to_batches()[0])]
         sent, threshold = self.nodes.sparkSession.sparkContext.broadcast(known), self.threshold
 
@@ -222,9 +247,33 @@ class Descent:
                             i, j = np.nonzero(similarity >= threshold)
                             yield _edges(node[at[i]], ids[j], similarity[i, j])
 
-        true = self.nodes.select("node", "unit").mapInArrow(rows, EDGES).filter("a != b")
+        return saved(self.nodes.select("node", "unit").mapInArrow(rows, EDGES).filter("a != b"), "audit")
+
+    def audited(self) -> DataFrame:
+        """The links of as many nodes as have enough of them, or of all nodes."""
+        parts, first, n = [], 0, 0
+        for draw in range(DRAWS):
+            found = self._drawn(first, AUDITED << draw)
+            if found is None:
+                break
+            parts.append(found)
+            first, n = first + (AUDITED << draw), n + found.count()
+            if n >= AUDITED_LINKS:
+                break
+        else:
+            if self.nodes.count() > first:
+                warnings.warn(f"recall is judged by {n} links of {first} nodes only", stacklevel=2)
+        out = self.nodes.sparkSession.createDataFrame([], EDGES)
+        for part in parts:
+            out = out.union(part)
+        return out
+
+    def recall(self, groups: DataFrame, seed: int) -> float:
+        """Of the links of the audited nodes, the share whose ends were joined."""
+        if self.audit is None:
+            self.audit = self.audited()
         one, two = groups.toDF("a", "group_a"), groups.toDF("b", "group_b")
-        judged = true.join(one, "a", "left").join(two, "b", "left")
+        judged = self.audit.join(one, "a", "left").join(two, "b", "left")
         n, found = judged.agg(F.count("*"), F.count_if(F.col("group_a") == F.col("group_b"))).first()
         return found / n if n else 1.0
 
@@ -265,13 +314,21 @@ def embedding_links(vectors: DataFrame, threshold: float = 0.9, id_col: str = "v
     nodes = saved(nodes.groupBy("node").agg(F.max_by("copies", "digest").alias("copies"), F.max_by("unit", "digest").alias("unit")), "nodes")
 
     descent = Descent(nodes, threshold)
-    for attempt in range(ATTEMPTS):
-        descent.project(attempt)
+    tables = rounds_of_tables(nodes.count(), threshold)
+    attempt, best, futile = 0, -1.0, 0
+    while True:
+        for seed in range(attempt * tables, (attempt + 1) * tables):
+            descent.project(seed)
         for _ in range(JOINS if attempt == 0 else 1):
             descent.join()
         groups = saved(components(descent.links), "groups")
-        if descent.recall(groups, attempt) >= RECALL:
+        recall = descent.recall(groups, attempt)
+        if recall >= RECALL:
             break
+        best, futile = max(best, recall), 0 if recall > best else futile + 1
+        if futile == ATTEMPTS:
+            raise RuntimeError(f"recall stays at {best:.4f}, below {RECALL}, after {(attempt + 1) * tables * TABLES} projections")
+        attempt += 1
     counts = small(saved(_enlarged(nodes, groups, threshold), "counts"))
     out = members.join(small(groups), "node", "left").join(counts, "node", "left")
     linked = F.coalesce("n", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))

@@ -60,6 +60,34 @@ def test_audit_asks_for_more(spark, monkeypatch):
     assert seen[0] < 1 and len(seen) > 1 and seen == sorted(seen)
 
 
+def test_audit_draws_until_it_has_links(spark, monkeypatch):
+    for name, value in (("TABLES", 1), ("WINDOW", 1), ("AUDITED", 2)):
+        monkeypatch.setattr(embedding_dedup, name, value)
+    monkeypatch.setattr(embedding_dedup.Descent, "join", lambda self: None)
+    monkeypatch.setattr(embedding_dedup, "DRAWS", 20, raising=False)
+    r = np.random.default_rng(7)
+    vectors = r.standard_normal((400, 24)).astype(np.float32).tolist()
+    vectors += [v for _ in range(25) for v in around(r, r.standard_normal(24), 2, 0.2)]
+    rows = list(enumerate(vectors))
+    df = spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA)
+    got = {x.vec_id: (x.n_links, x.component_id, x.kept) for x in embedding_links(df).collect()}
+    want = plain(rows)
+    assert sum(got[i][0] for i in want) >= 0.98 * sum(want[i][0] for i in want)
+
+
+def test_fails_if_recall_stays_low(spark, monkeypatch):
+    none = "a long, b long, similarity double"
+    monkeypatch.setattr(embedding_dedup.Descent, "project", lambda self, seed: self.add(spark.createDataFrame([], none)))
+    df = spark.createDataFrame([(1, [1.0, 0.0], 0), (2, [1.0, 0.1], 0), (3, [0.0, 1.0], 0)], SCHEMA)
+    with pytest.raises(RuntimeError, match="recall"):
+        embedding_links(df)
+
+
+def test_projections_follow_the_nodes():
+    rounds = [embedding_dedup.rounds_of_tables(n, 0.9) for n in (1, 10_000, 100_000, 1_000_000, 100_000_000)]
+    assert rounds == [1, 1, 2, 4, 10] and embedding_dedup.rounds_of_tables(10**8, 1.0) == 1
+
+
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, [1.0, 0.0])], [(None, [1.0, 2.0]), (4, [1.0, 2.0]), (4, [1.0, 2.0])]])
 def test_small_tables(spark, rows):
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
