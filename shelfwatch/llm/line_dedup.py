@@ -9,8 +9,9 @@ Counts are added up before the shuffle, and what is looked up per chunk goes thr
 block that a third of the documents hold never meets in one task. Texts move once, spread by document.
 
 Defined results: a null or empty text has no lines and stays as it is; a chunk of blank lines only is never removed;
-one-line chunks stay; rows that repeat an id are the same occurrence if their chunk is the same, and both keep it; a
-null id comes before all others; columns other than the id and the text are ignored.
+one-line chunks stay; rows that repeat an id and the text are the same occurrence, and both keep it; rows that share an
+id but not the text are documents of their own, in the order of their texts' hashes; a null id comes before all others;
+columns other than the id and the text are ignored.
 """
 
 from __future__ import annotations
@@ -55,14 +56,19 @@ def chunk_lines(number: Column) -> Column:
 def _chunks(docs: DataFrame) -> DataFrame:
     """One row per chunk of two lines or more that holds text."""
     numbered = with_chunks(docs).select(
-        "doc_id", F.posexplode(F.transform("starts", lambda _, k: chunk_lines(k))).alias("chunk", "chunk_lines")
+        "doc_id", "hash", F.posexplode(F.transform("starts", lambda _, k: chunk_lines(k))).alias("chunk", "chunk_lines")
     )
     text = F.array_join("chunk_lines", "\n")
-    return numbered.filter(F.size("chunk_lines") > 1).select("doc_id", "chunk", text.alias("chunk_text")).filter(
+    return numbered.filter(F.size("chunk_lines") > 1).select("doc_id", "hash", "chunk", text.alias("chunk_text")).filter(
         F.col("chunk_text").rlike(r"[^ \t\n\x0B\f\r]")
     )
 
 
+def _same(one: str, two: str) -> Column:
+    """Whether rows of two tables are of one document."""
+    return F.col(f"{one}.doc_id").eqNullSafe(F.col(f"{two}.doc_id")) & (F.col(f"{one}.hash") == F.col(f"{two}.hash"))
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """Per document: doc_id, n_lines, n_chunks, n_removed (lines), kept_text (null only for a null text).
 
@@ -71,38 +77,35 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     carried = F.struct(*(carry or [])).alias("carried")
     # Beside the texts, so that these are shuffled in one form only; a row is known by its id and its text's hash.
     beside = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("hash"), carried).dropDuplicates(["doc_id", "hash"])
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    # The place in the table is the document's id and the chunk's number; null ids are one document.
-    digests = saved(_chunks(docs).select("doc_id", "chunk", F.unhex(F.md5("chunk_text")).alias("digest")), "chunks")
+    # A document is known by its id and its text's hash; the place in the table is these and the chunk's number.
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text"))
+    digests = saved(_chunks(docs).select("doc_id", "hash", "chunk", F.unhex(F.md5("chunk_text")).alias("digest")), "chunks")
     # What is looked up is written first, so that both sides of the joins are plain shuffles and AQE can split them.
     seen_again = digests.groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
     repeated = digests.join(saved(seen_again, "repeated"), "digest", "left_semi")
-    candidates = repeated.groupBy("doc_id").agg(F.collect_set("chunk").alias("candidates"))
+    candidates = repeated.groupBy("doc_id", "hash").agg(F.collect_set("chunk").alias("candidates"))
 
-    same_id = F.col("t.doc_id").eqNullSafe(F.col("c.doc_id"))
-    found = docs.alias("t").join(candidates.alias("c"), same_id).select("t.doc_id", "t.text", "c.candidates")
+    found = docs.alias("t").join(candidates.alias("c"), _same("t", "c")).select("t.doc_id", "t.hash", "t.text", "c.candidates")
     texts = with_chunks(found).select(
         "doc_id",
+        "hash",
         F.explode(
             F.transform("candidates", lambda k: F.struct(k.alias("chunk"), F.array_join(chunk_lines(k), "\n").alias("chunk_text")))
         ).alias("c"),
     )
     texts = texts.select(
-        "doc_id", "c.chunk", "c.chunk_text", F.unhex(F.md5("c.chunk_text")).alias("digest"), F.struct("doc_id", "c.chunk").alias("place")
+        "doc_id", "hash", "c.chunk", "c.chunk_text", F.unhex(F.md5("c.chunk_text")).alias("digest"), F.struct("doc_id", "hash", "c.chunk").alias("place")
     )
     owners = saved(texts.groupBy("digest", "chunk_text").agg(F.min("place").alias("owner")), "owners")
     removed = (
         texts.join(owners, ["digest", "chunk_text"]).filter(F.col("place") != F.col("owner"))
-        .groupBy("doc_id").agg(F.collect_set("chunk").alias("removed"))
+        .groupBy("doc_id", "hash").agg(F.collect_set("chunk").alias("removed"))
     )
 
     if carry:
-        known = beside.alias("b").join(removed.alias("r"), F.col("b.doc_id").eqNullSafe(F.col("r.doc_id")), "left")
-        removed = known.select("b.doc_id", "hash", "carried", "removed")
-    same_row = F.col("t.doc_id").eqNullSafe(F.col("r.doc_id"))
-    if carry:
-        same_row &= F.xxhash64("t.text").bitwiseXOR(F.col("r.hash")) == 0
-    whole = docs.alias("t").join(removed.alias("r"), same_row, "left").select("t.doc_id", "t.text", "removed", *(["carried"] if carry else []))
+        known = beside.alias("b").join(removed.alias("r"), _same("b", "r"), "left")
+        removed = known.select("b.doc_id", "b.hash", "carried", "removed")
+    whole = docs.alias("t").join(removed.alias("r"), _same("t", "r"), "left").select("t.doc_id", "t.text", "removed", *(["carried"] if carry else []))
     none = F.array().cast("array<int>")
     whole = with_chunks(whole).withColumn("removed", F.coalesce("removed", none))
     numbers = F.transform("starts", lambda _, k: k)

@@ -65,3 +65,14 @@ def test_empty_table_clashing_columns_repeated_rows_null_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as lines", "2 as chunk", "3 as digest")
     got = sorted((-1 if r.doc_id is None else r.doc_id, r.kept_text == text) for r in line_dedup(docs).collect())
     assert got == [(-1, True), (1, False), (1, False), (2, False)]
+
+
+def test_rows_that_share_an_id_but_not_the_text(spark):
+    own = ["\n".join(block(k, 20)) for k in range(20, 24)]
+    rows = [(1, own[0]), (None, own[1]), (None, own[2]), (2, own[0]), (2, own[1]), (2, own[3]), (2, own[3])]
+    got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), carry=["text"]).collect()
+    kept = sorted((r.doc_id or 0, r.carried.text, r.kept_text == r.carried.text) for r in got)
+    want = [(0, own[1], True), (0, own[2], True), (1, own[0], True), (2, own[0], False), (2, own[1], False), (2, own[3], True), (2, own[3], True)]
+    assert kept == sorted(want)
+    lines = {x for r in got for x in r.kept_text.split("\n")}
+    assert lines == {x for t in own for x in t.split("\n")}
