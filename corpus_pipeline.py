@@ -38,19 +38,47 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select(*(columns[c].alias(c) for c in docs.columns))
 
 
+# A row is known by its id, which may be null or repeated, and its text.
+KEY = "_row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    return docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
+
+
+def _without(docs: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The rows of `docs`, which has keys, whose key is none of those."""
+    return docs.join(small(saved(keys.select(KEY).distinct(), name)), KEY, "left_anti")
+
+
+def _one_of_equal(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows that repeat id and text once. Only the texts of those that do are shuffled."""
+    again = saved(ids.filter("n > 1").select(KEY), "repeated-rows")
+    if again.isEmpty():
+        return docs
+    again = small(again)
+    return docs.join(again, KEY, "left_anti").unionByName(docs.join(again, KEY, "left_semi").dropDuplicates(["doc_id", "text"]))
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links join, the one of the smallest id stays."""
+    """Of documents that links join, the one of the smallest id stays, of a null id before all; of equal rows, one."""
     send_package(spark)
-    found = jaccard_join.jaccard_components(docs)
-    gone = small(saved(found.filter("doc_id != component_id").select("doc_id").distinct(), "copies"))
-    return docs.join(gone, "doc_id", "left_anti")
+    keyed = _keyed(docs)
+    ids = saved(keyed.groupBy(KEY).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "row-keys")
+    once = _one_of_equal(keyed, ids)
+    found = jaccard_join.jaccard_components(once.select(KEY, "text"), id_col=KEY)
+    found = saved(found.select(F.col("doc_id").alias(KEY), "component_id").distinct().join(small(ids), KEY), "components")
+    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", KEY)).alias("first"))
+    first = saved(first.select(F.col("first").getField(KEY).alias(KEY)), "first-rows")
+    return _without(once, found.join(small(first), KEY, "left_anti"), "copies").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold benchmark passages to the limit or beyond go."""
-    found = decontaminate.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
-    gone = small(saved(found.filter("contaminated").select("doc_id").distinct(), "contaminated"))
-    return docs.join(gone, "doc_id", "left_anti")
+    keyed = _keyed(docs)
+    found = decontaminate.decontaminate(keyed.select(F.col(KEY).alias("doc_id"), "text"), _table(spark, sf_dir, "benchmark"))
+    gone = found.filter("contaminated").select(F.col("doc_id").alias(KEY))
+    return _without(keyed, gone, "contaminated").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -93,3 +93,17 @@ def test_odd_rows_pass_every_stage(spark):
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, TINY).count() == 0
+
+
+def test_rows_are_judged_by_id_and_text(spark):
+    clean, copy = [" ".join(prose(k, 300)) for k in (201, 202)]
+    passage = max((r.text for r in spark.read.parquet(f"{TINY}/benchmark.parquet").collect()), key=len)
+    rows = [(1, clean), (1, passage), (None, passage), (None, copy), (5, copy), (6, clean), (6, clean), (7, " ".join(prose(203, 300)))]
+    rows += [rows[-1], (7, clean + " end")]
+    docs = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], DOCS)
+    left = corpus_pipeline.drop_contaminated(spark, docs, TINY)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in left.collect()) == sorted((i or 0, t) for i, t in rows if t != passage)
+    once = corpus_pipeline.drop_near_copies(spark, left, TINY)
+    assert once.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in once.collect()) == sorted([(0, copy), (1, clean), (7, rows[7][1])])
