@@ -2,10 +2,10 @@
 
 Strong patterns are reported as they stand. Weak parts alone say nothing: an access identifier, a bare string that
 could be a secret, an endpoint. They are laid over a text as intervals, and an interval join links them: a part is
-reported only if a complementary part begins within the same scope. Scopes are windows of fixed width; every part is
-placed in the cell it begins in, looked for in the neighbouring cells, and compared by distance. So what is joined is
-bounded by the width of a cell, however long a text is, and the join answers whether there is a partner rather than
-spelling out pairs.
+reported only if no more than the scope lies between it and a complementary part. Cells are as wide as the scope; every
+part is placed in all cells it covers, looked for in these and their neighbours, and compared by the gap. So what is
+joined is bounded by the width of a cell, however long a text is, and the join answers whether there is a partner rather
+than spelling out pairs.
 
 Texts are searched where they are read and never move; the parts found do.
 
@@ -43,9 +43,9 @@ _ASSIGN = re.compile(ASSIGN, re.IGNORECASE | re.ASCII)
 _ACCESS = re.compile(ACCESS[:-1] + "{%d,}" % (LEAST["access"] - 4))
 _HEX = re.compile(HEX[:-1] + "{%d,}" % LEAST["hex"])
 _KEYWORDS = re.compile("pass|secret|token|api_?key", re.IGNORECASE | re.ASCII)
-# Weak parts: a named user or client, a mixed string as long as keys are, an address with a host.
+# Weak parts: a named user or client, a mixed string as long as keys are or longer, an address with a host.
 _IDENTIFIER = re.compile(r"(?:user(?:name)?|login|client_?id|account|access_?key(?:_?id)?)[\"']?\x20*[:=]\x20*[\"']?[\w.@+-]{3,}", re.I | re.A)
-_BARE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[^A-Z\s]*[A-Z])(?=[^a-z\s]*[a-z])[A-Za-z0-9+/_=-]{20,64}(?![A-Za-z0-9+/_=-])")
+_BARE = re.compile(r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*[0-9])(?=[^A-Z\s]*[A-Z])(?=[^a-z\s]*[a-z])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 _ENDPOINT = re.compile(r"(?:https?|ftp|s3|jdbc:\w+|postgres(?:ql)?|mysql|mongodb|redis|amqp)://[^\s\"'<>]{4,}|(?:host(?:name)?|endpoint|server)[\"']?\x20*[:=]\x20*[\"']?[\w.-]{4,}", re.I | re.A)
 _MARKS = re.compile(r"://|user|login|client|account|access|host|endpoint|server", re.I | re.A)
 
@@ -94,17 +94,18 @@ def _order(span):
 
 
 def linked(parts: DataFrame, scope: int = SCOPE) -> DataFrame:
-    """The weak parts of (row_key, kind, start, end) that a complementary part begins near to."""
-    cell = F.floor(F.col("start") / scope).cast("long")
+    """The weak parts of (row_key, kind, start, end) that a complementary part is near to."""
+    first, last = (F.floor(F.col(c) / scope).cast("long") for c in ("start", "end"))
     needs = F.create_map(*(F.lit(x) for k, v in PARTNERS.items() for x in (k, F.array(*map(F.lit, v)))))
     weak = parts.filter(F.col("kind").isin(WEAK)).withColumn("needs", needs[F.col("kind")])
-    weak = weak.withColumn("cell", F.explode(F.array(cell - 1, cell, cell + 1))).alias("w")
-    other = parts.withColumn("cell", cell).alias("o")
+    weak = weak.withColumn("cell", F.explode(F.sequence(first - 1, last + 1))).alias("w")
+    other = parts.withColumn("cell", F.explode(F.sequence(first, last))).alias("o")
+    gap = F.greatest(F.col("w.start") - F.col("o.end"), F.col("o.start") - F.col("w.end"))
     near = (
         (F.col("w.row_key") == F.col("o.row_key")) & (F.col("w.cell") == F.col("o.cell"))
-        & (F.abs(F.col("w.start") - F.col("o.start")) <= scope) & F.array_contains("w.needs", F.col("o.kind"))
+        & (gap <= scope) & F.array_contains("w.needs", F.col("o.kind"))
     )
-    # A part is in three cells but near only the partners of one or two of them.
+    # A part is in several cells and may be near a partner in each.
     return weak.join(other, near, "left_semi").select("row_key", "kind", "start", "end").distinct()
 
 

@@ -70,3 +70,12 @@ def test_query_equals_brute_force(spark):
         strong, every = plain(d.text)
         assert got[d.doc_id].base_sha256 == hashlib.sha256(written(strong).encode()).hexdigest()
         assert got[d.doc_id].spans == written(every)
+
+
+def test_long_keys_and_the_gap_behind_a_long_endpoint(spark):
+    key = BARE * 4 + "Ab1=="
+    far = "https://db.example.org/" + "path/" * 60
+    texts = [f"account=store {key}", f"{far} {BARE}", f"{far} {'x ' * 90}{BARE}", f"{far} {'x ' * 110}{BARE}"]
+    got = by_id(digest(secret_spans(docs_of(spark, texts))))
+    assert got[0].spans == f"identifier:0:13,bare:14:{14 + len(key)}"
+    assert [("bare" in got[k].spans, "endpoint" in got[k].spans) for k in (1, 2, 3)] == [(True, True), (True, True), (False, False)]
