@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfwatch.llm import decontaminate as op6
 from shelfwatch.llm import embedding_dedup as op1
+from shelfwatch.llm import hard_negatives as op13
 from shelfwatch.llm import jaccard_join as op7
 from shelfwatch.llm import line_dedup as op10
 from shelfwatch.llm import packing as op5
@@ -71,6 +72,27 @@ def op10_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_chunks", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_quality, op3_substring_dedup, op4_secrets, op5_packing, op6_decontaminate, op7_jaccard_join, op8_sharding, op9_warc, op10_line_dedup)}
-
-ORACLES: dict[str, str] = {"op9_warc": op9.ORACLE, "op10_line_dedup": op10.ORACLE}
+def op13_hard_negatives(spark, sf_dir):
+    vectors = _table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return op13.hard_negatives(vectors.withColumn("label", label), anchor=F.col("id") % 50 == 0)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_embedding_dedup,
+        op2_quality,
+        op3_substring_dedup,
+        op4_secrets,
+        op5_packing,
+        op6_decontaminate,
+        op7_jaccard_join,
+        op8_sharding,
+        op9_warc,
+        op10_line_dedup,
+        op13_hard_negatives,
+    )
+}
+
+ORACLES: dict[str, str] = {"op9_warc": op9.ORACLE, "op10_line_dedup": op10.ORACLE, "op13_hard_negatives": op13.ORACLE}
