@@ -30,7 +30,8 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated blocks of lines go, and with them documents of which nothing is left."""
     send_package(spark)
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
-    found = line_dedup.line_dedup(docs, carry=[*others, "n_chars"])
+    # Written before it is filtered: a filter pushed into the operator would work out every line's hash again per chunk.
+    found = saved(line_dedup.line_dedup(docs, carry=[*others, "n_chars"]), "lines-left")
     found = found.filter((F.col("n_removed") == 0) | (F.length("kept_text") > 0))
     n_chars = F.when(F.col("n_removed") > 0, F.length("kept_text").cast("long")).otherwise(F.col("carried.n_chars"))
     columns = {"doc_id": F.col("doc_id"), "text": F.col("kept_text"), "n_chars": n_chars}
