@@ -16,6 +16,7 @@ from shelfwatch.llm import quality as op2
 from shelfwatch.llm import secrets as op4
 from shelfwatch.llm import sharding as op8
 from shelfwatch.llm import substring_dedup as op3
+from shelfwatch.llm import token_alignment as op12
 from shelfwatch.llm import warc as op9
 from shelfwatch.llm.workers import send_package
 
@@ -72,6 +73,11 @@ def op10_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_chunks", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op12_token_alignment(spark, sf_dir):
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return op12.token_alignment(_table(spark, sf_dir, "documents"), *paths)
+
+
 def op13_hard_negatives(spark, sf_dir):
     vectors = _table(spark, sf_dir, "embeddings")
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -91,6 +97,7 @@ QUERIES = {
         op8_sharding,
         op9_warc,
         op10_line_dedup,
+        op12_token_alignment,
         op13_hard_negatives,
     )
 }
