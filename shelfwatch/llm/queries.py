@@ -10,6 +10,7 @@ from shelfwatch.llm import decontaminate as op6
 from shelfwatch.llm import embedding_dedup as op1
 from shelfwatch.llm import hard_negatives as op13
 from shelfwatch.llm import jaccard_join as op7
+from shelfwatch.llm import language_id as op11
 from shelfwatch.llm import line_dedup as op10
 from shelfwatch.llm import packing as op5
 from shelfwatch.llm import quality as op2
@@ -73,6 +74,10 @@ def op10_line_dedup(spark, sf_dir):
     return found.select("doc_id", "n_lines", "n_chunks", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_language_id(spark, sf_dir):
+    return op11.identify(_table(spark, sf_dir, "documents"))
+
+
 def op12_token_alignment(spark, sf_dir):
     paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
     return op12.token_alignment(_table(spark, sf_dir, "documents"), *paths)
@@ -97,6 +102,7 @@ QUERIES = {
         op8_sharding,
         op9_warc,
         op10_line_dedup,
+        op11_language_id,
         op12_token_alignment,
         op13_hard_negatives,
     )
