@@ -10,8 +10,8 @@ of two bounded samples, of annotated rows and of others, and then scores every d
 row; what the scorer learns of kinds of junk that no annotated row shows comes from the votes on the others. All
 statistics and votes are of whole texts.
 
-Defined results: a null or empty text has no features; it is scored by the bias alone and never rejected, as nothing
-speaks against it. Without annotated rows there is nothing to fit: documents are judged by the votes' posteriors.
+Defined results: a null or empty text has no features and is never rejected, nor is any other text without a feature
+that the scorer weighs, as nothing but the bias speaks against it. Without annotated rows there is nothing to fit: documents are judged by the votes' posteriors.
 Labels that are null give no opinion; of several for one id the worst counts. Repeated rows are scored each; a null id
 is kept. Other columns are ignored by `score_documents` and kept by `keep_good`.
 """
@@ -38,6 +38,13 @@ NONE, GOOD, BAD = 0, 1, 2
 SURE = 0.9
 # How often an annotation is taken to be right.
 ANNOTATED = 0.995
+# Votes every heuristic is taken to have cast before any is counted (none, good, bad), on good and on bad documents: most
+# bad documents are bad in one way only, so half of the heuristics' votes on them are good. They hold labellers above
+# chance and one bad vote among many good ones below the limit until counts say otherwise.
+ASSUMED_VOTES = np.array([[0.5, 9.0, 0.5], [0.5, 4.75, 4.75]])
+ASSUMED_CLASSES = np.array([8.0, 2.0])
+# Stretches of the samples' features that are added up at a time, which bounds the driver's memory.
+FEATURES_AT_ONCE = 1 << 20
 
 # Common English insults, in lower case.
 INSULTS = (
@@ -164,7 +171,7 @@ def quality_votes(block: Block) -> list[np.ndarray]:
         _vote(s["upper"] > 0.4, s["upper"] < 0.1),
         _vote(s["symbols"] > 0.03, s["symbols"] < 0.004),
         _vote(s["shouts"] > 0.5, s["shouts"] < 0.1),
-        _vote(enough & (s["function"] < 0.03), s["function"] > 0.08),
+        _vote(False, s["function"] > 0.08),  # other languages have function words of their own
         _vote(enough & (s["lines"] > 0.6), s["lines"] < 0.2),
     ]
     return [np.where(block.words > 0, v, NONE) for v in votes]
@@ -203,11 +210,12 @@ def posteriors(patterns: np.ndarray, counts: np.ndarray, labellers: int, rounds:
     said = np.zeros((2, labellers, 3))
     for _ in range(rounds):
         weight = post * counts[:, None]
-        prior = (weight.sum(0) + 1) / (weight.sum() + 2)
-        for c in (0, 1):
-            for k in range(labellers):
-                seen = np.bincount(votes[:, k], weights=weight[:, c], minlength=3) + 0.5
-                said[c, k] = seen / seen.sum()
+        prior = (weight.sum(0) + ASSUMED_CLASSES) / (weight.sum() + ASSUMED_CLASSES.sum())
+        for k in range(labellers):
+            seen = np.stack([np.bincount(votes[:, k], weights=weight[:, c], minlength=3) for c in (0, 1)]) + ASSUMED_VOTES
+            said[:, k] = seen / seen.sum(1, keepdims=True)
+            if said[1, k, BAD] <= said[0, k, BAD]:
+                said[:, k] = seen.sum(0) / seen.sum()
         each = np.stack([said[c][np.arange(labellers), votes][:, :-1] for c in (0, 1)])
         log = np.log(prior)[:, None] + np.log(each).sum(2)
         post = np.exp(log - log.max(0)).T
@@ -219,6 +227,7 @@ def posteriors(patterns: np.ndarray, counts: np.ndarray, labellers: int, rounds:
 def train(rows: np.ndarray, columns: np.ndarray, target: np.ndarray, width: int, rounds: int = 300) -> np.ndarray:
     """Weights of a logistic scorer (the bias last) on sparse rows of ones, by accelerated gradient steps."""
     n = len(target)
+    parts = [slice(at, at + FEATURES_AT_ONCE) for at in range(0, len(rows), FEATURES_AT_ONCE)]
     weight, moved, step = np.zeros(width + 1), np.zeros(width + 1), 1.0
     most = np.bincount(rows, minlength=n).max(initial=0) + 1
     rate = 4.0 / most
@@ -226,9 +235,10 @@ def train(rows: np.ndarray, columns: np.ndarray, target: np.ndarray, width: int,
     balance = np.clip(balance / balance.mean(), 0.2, 5)
     balance /= balance.sum()
     for _ in range(rounds):
-        score = np.bincount(rows, weights=moved[columns], minlength=n) + moved[-1]
+        score = sum((np.bincount(rows[p], weights=moved[columns[p]], minlength=n) for p in parts), np.zeros(n)) + moved[-1]
         error = (1 / (1 + np.exp(-score)) - target) * balance
-        slope = np.append(np.bincount(columns, weights=error[rows], minlength=width), error.sum()) + 2e-5 * moved
+        slope = sum((np.bincount(columns[p], weights=error[rows[p]], minlength=width) for p in parts), np.zeros(width))
+        slope = np.append(slope, error.sum()) + 2e-5 * moved
         after = moved - rate * slope
         following = (1 + np.sqrt(1 + 4 * step**2)) / 2
         moved = after + (step - 1) / following * (after - weight)
@@ -275,8 +285,8 @@ def _scores(model):
             for begin, texts in text_blocks(batch):
                 text, bucket = Block(texts).features()
                 out = [batch.column("doc_id").slice(begin, len(texts))]
-                some = np.bincount(text, minlength=len(texts)) > 0
                 for weight, bias in model.value:
+                    some = np.bincount(text, weights=weight[bucket] != 0, minlength=len(texts)) > 0
                     score = np.bincount(text, weights=weight[bucket], minlength=len(texts)) + bias
                     out.append(pa.array(np.where(some, 1 / (1 + np.exp(-np.clip(score, -500, 500))), 0.0)))
                 yield pa.RecordBatch.from_arrays(out, ["doc_id", "p_bad", "p_toxic"])
@@ -303,7 +313,7 @@ class Sample:
         table = pa.concat_tables(parts if parts[0].num_rows else parts[:1])
         self.ids, self.hash, self.quality, self.toxic = (table.column(c).to_numpy() for c in ("doc_id", "hash", "quality", "toxic"))
         lists = table.column("features").combine_chunks()
-        self.row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+        self.row = np.repeat(np.arange(len(lists), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
         self.bucket = lists.values.to_numpy()[lists.offsets[0].as_py() :] if len(lists) else np.zeros(0, np.int32)
 
     def association(self, votes: np.ndarray) -> np.ndarray:
@@ -311,7 +321,10 @@ class Sample:
         n = np.array([(votes == GOOD).sum(), (votes == BAD).sum()], float)
         if not n.all():
             return np.zeros(BUCKETS)
-        has = [np.bincount(self.bucket[votes[self.row] == v], minlength=BUCKETS) for v in (GOOD, BAD)]
+        has = np.zeros((2, BUCKETS), np.int64)
+        for at in range(0, len(self.row), FEATURES_AT_ONCE):
+            said, bucket = votes[self.row[at : at + FEATURES_AT_ONCE]], self.bucket[at : at + FEATURES_AT_ONCE]
+            has += [np.bincount(bucket[said == v], minlength=BUCKETS) for v in (GOOD, BAD)]
         share = (has[0] + has[1] + 0.5) / (n.sum() + 1)
         return (has[1] / n[1] - has[0] / n[0]) / np.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1]))
 
@@ -366,10 +379,11 @@ class Model:
             strength = np.abs(sample.association(np.select([target >= SURE, target <= 1 - SURE], [BAD, GOOD], NONE)))
             chosen = np.sort(np.argsort(-strength, kind="stable")[:FEATURES])
             chosen = chosen[strength[chosen] > 4]
-            place = np.full(BUCKETS, -1)
+            place = np.full(BUCKETS, -1, np.int32)
             place[chosen] = np.arange(len(chosen))
             column = place[sample.bucket]
-            fitted = train(sample.row[column >= 0], column[column >= 0], target, len(chosen))
+            some = column >= 0
+            fitted = train(sample.row[some], column[some], target, len(chosen))
             weight = np.zeros(BUCKETS)
             weight[chosen] = fitted[:-1]
             out.append((weight, fitted[-1]))

@@ -24,6 +24,29 @@ def test_label_model_finds_accuracies_without_annotations():
     assert ((wanted[votes @ 3 ** np.arange(4, -1, -1)] > 0.5) == bad).mean() > 0.97
 
 
+def test_few_patterns_do_not_turn_classes_or_trust_one_vote():
+    good = sum(GOOD * 3**k for k in range(1, 9))  # eight good votes, no annotation
+    for n in (1, 3, 50):
+        post, said = posteriors(np.array([good, good + 3 * (BAD - GOOD)]), np.array([n, 1]), 9)
+        assert post[0] < 0.1 and post[1] < 0.5
+        assert (said[1, :-1, BAD] >= said[0, :-1, BAD]).all()
+
+
+def test_clean_documents_of_small_tables_stay(spark):
+    for n in (1, 5, 50):
+        texts = [" ".join(prose(900 + k, 300)) for k in range(n)]
+        for labels in ([], [(0, 1, 0)]):
+            rows = score_documents(docs_of(spark, texts), spark.createDataFrame(labels, LABELS)).collect()
+            assert len(rows) == n and not any(r.rejected for r in rows)
+
+
+def test_a_language_without_known_function_words_stays(spark):
+    texts, labels = corpus(spark)
+    other = [" ".join(f"слово{w[1:]}" for w in prose(700 + k, 80, 400)) for k in range(20)]
+    got = by_id(score_documents(docs_of(spark, texts + other), spark.createDataFrame(labels, LABELS)))
+    assert not any(got[240 + k].rejected for k in range(20))
+
+
 def test_annotations_decide():
     patterns = np.array([BAD * 3 + GOOD, BAD * 3 + NONE, GOOD * 3 + BAD])
     post, _ = posteriors(patterns, np.array([50, 5, 3]), 2)
@@ -116,6 +139,13 @@ def test_held_out_accuracy(spark):
     assert sum(a and not b for a, b in held) <= 0.03 * len(held)
 
 
+def test_query_agrees_with_the_annotations(spark):
+    got = by_id(QUERIES["op2_quality"](spark, f"{SMALL[:-2]}1"))
+    judged = [(got[r.doc_id].rejected, r.quality == 0 or r.toxic == 1) for r in spark.read.parquet(f"{SMALL[:-2]}1/labels.parquet").collect()]
+    assert sum(a == b for a, b in judged) / len(judged) > 0.93
+    assert sum(a and not b for a, b in judged) <= 0.04 * len(judged)
+
+
 def test_query(spark):
     rows = QUERIES["op2_quality"](spark, SMALL).collect()
     assert len(rows) == spark.read.parquet(f"{SMALL}/documents.parquet").count()
