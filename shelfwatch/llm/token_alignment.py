@@ -22,6 +22,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,6 +35,8 @@ from shelfwatch.llm.tables import saved, small
 
 BLOCK_WORDS = 200_000
 WORDS_KEPT = 400_000
+# New words that the byte-level tokenizer reads as one text.
+WORDS_AT_ONCE = 200
 # A pair is one long: the id of the first side in the upper half, of the second in the lower.
 HALF = 32
 _SPACE_BEFORE_BLANK = re.compile(r"\s ")
@@ -63,10 +66,34 @@ class ByteLevel:
         size = self.tokenizer.get_vocab_size()
         entries = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.bytes = [bytes(letters[c] for c in e) if all(c in letters for c in e) else b"" for e in entries]
+        self.sizes = np.array([len(b) for b in self.bytes], np.int64)
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word with a blank before it."""
-        return [e.ids for e in self.tokenizer.encode_batch([" " + w for w in words], add_special_tokens=False)]
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, each with a blank before it, and how many each word has."""
+        # Many words at once, as no token goes on over a blank after a letter; the few words that end in white space alone.
+        alone = [not w or w[-1].isspace() for w in words]
+        joined = [w for w, x in zip(words, alone) if not x]
+        texts = [" " + " ".join(joined[at : at + WORDS_AT_ONCE]) for at in range(0, len(joined), WORDS_AT_ONCE)]
+        ids = _flat([e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)])
+        ends = np.cumsum([1 + len(w.encode()) for w in joined], dtype=np.int64)
+        counts = np.diff(np.searchsorted(np.cumsum(self.sizes[ids]), ends, "right"), prepend=0)
+        if not any(alone):
+            return ids, counts
+        rest = [e.ids for e in self.tokenizer.encode_batch([" " + w for w, x in zip(words, alone) if x], add_special_tokens=False)]
+        return _interleaved(np.array(alone), (ids, counts), (_flat(rest), np.array([len(r) for r in rest])))
+
+
+def _flat(lists: list[list[int]]) -> np.ndarray:
+    return np.fromiter(chain.from_iterable(lists), np.int64, sum(map(len, lists)))
+
+
+def _interleaved(second: np.ndarray, a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and counts of words that lie in two tables, by whether each word is in the second one."""
+    counts = np.zeros(len(second), np.int64)
+    counts[~second], counts[second] = a[1], b[1]
+    ids, of = np.zeros(int(counts.sum()), np.int64), np.repeat(second, counts)
+    ids[~of], ids[of] = a[0], b[0]
+    return ids, counts
 
 
 class Pieces:
@@ -80,10 +107,13 @@ class Pieces:
         self.bytes = [
             bytes([int(e[3:5], 16)]) if self.model.is_byte(i) else e.replace("▁", " ").encode() for i, e in enumerate(entries)
         ]
+        self.sizes = np.array([len(b) for b in self.bytes], np.int64)
         self.blank = self.model.piece_to_id("▁")
 
-    def encode(self, words: list[str]) -> list[list[int]]:
-        return [ids if w else [self.blank] for w, ids in zip(words, self.model.encode(words, num_threads=1))]
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, each with a blank before it, and how many each word has."""
+        found = [ids or [self.blank] for ids in self.model.encode(words, num_threads=1)]
+        return _flat(found), np.fromiter(map(len, found), np.int64, len(found))
 
 
 class Side:
@@ -91,7 +121,7 @@ class Side:
 
     def __init__(self, model):
         self.model = model
-        self.sizes = np.array([len(b) for b in model.bytes], np.int64)
+        self.sizes = model.sizes
         width = len(str(max(1, len(self.sizes) - 1)))
         decimals = np.char.zfill(np.arange(len(self.sizes)).astype(str), width)
         # The ids in decimals, a column for the separator, and which of these characters are written.
@@ -105,13 +135,19 @@ class Side:
         self.ids = np.zeros(0, np.int64)
         self.first = np.zeros(1, np.int64)
 
-    def add(self, words: list[str]) -> list[bool]:
+    def add(self, words: list[str]) -> np.ndarray:
         """Tokenises more words; tells which of them the tokens give back."""
-        found = self.model.encode(words)
-        piece = self.model.bytes
-        self.ids = np.concatenate([self.ids, np.fromiter((i for f in found for i in f), np.int64)])
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum([len(f) for f in found], dtype=np.int64)])
-        return [b"".join([piece[i] for i in f]) == (" " + w).encode() for f, w in zip(found, words)]
+        ids, counts = self.model.encode(words)
+        self.ids = np.concatenate([self.ids, ids])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(counts)])
+        parts = list(map(self.model.bytes.__getitem__, ids.tolist()))
+        want = [(" " + w).encode() for w in words]
+        ends = np.cumsum(counts)
+        if b"".join(parts) == b"".join(want):
+            # The same bytes in all: right word by word if every word has as many as it should.
+            got = np.diff(np.concatenate([[0], np.cumsum(self.sizes[ids])])[ends], prepend=0)
+            return got == np.fromiter(map(len, want), np.int64, len(want))
+        return np.array([b"".join(parts[e - n : e]) == w for e, n, w in zip(ends.tolist(), counts.tolist(), want)])
 
     def of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words' tokens one after the other, and how many each word has."""
@@ -144,7 +180,7 @@ class Words:
             self.clear()
         new = list(set(words).difference(self.number))
         if new:
-            whole = np.array(self.a.add(new)) & np.array(self.b.add(new))
+            whole = self.a.add(new) & self.b.add(new)
             self.whole = np.concatenate([self.whole, whole])
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
         return np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
