@@ -132,7 +132,7 @@ def test_daily_runs(spark, folder):
     fact = spark.read.parquet(places.at("fact"))
     assert rows(fact, "itemcode", "reshet_name", "storename", "zipcode", "itemprice")[0][:4] == (1, "Chain", "חיפה", -999)
     assert fact.count() == 6
-    assert partition_values(spark, places.at("history/versions/IsActive=1"), "batch") == ["1", "2"]
+    assert partition_values(spark, places.at("history/manifest"), "batch") == ["1", "2"]
     versions = history.read_history(spark, places.at("history"), 2)
     assert rows(versions, "itemcode", "StartDate", "EndDate") == [
         (1, day(0), day(1)), (1, day(1), None), (2, day(0), None)
@@ -196,10 +196,9 @@ def test_ordinary_batches_do_not_rewrite_closed_versions(spark, folder):
     sink = history.history_sink(RAW_PRICE, folder)
     for n in range(3):
         sink(as_messages(prices(spark, [(1, n, str(n), 3), (2, n, "5", 3)])), n)
-    assert partition_values(spark, f"{folder}/versions/IsActive=0", "batch") == ["1", "2"]
-    closed = spark.read.parquet(f"{folder}/versions").filter("IsActive = 0")
+    closed = spark.read.parquet(f"{folder}/versions").filter("kind = 'closed'")
     assert rows(closed, "itemcode", "StartDate", "batch") == [(1, day(0), 1), (1, day(1), 2)]
-    assert spark.read.parquet(f"{folder}/rebuilt").count() == 0
+    assert partition_values(spark, f"{folder}/versions", "rebuilt") == ["false"]
     before = rows(history.read_history(spark, folder, 2))
     assert history.prune_active(spark, folder) == [0]
     assert history.prune_active(spark, folder) == []
@@ -210,6 +209,75 @@ def test_ordinary_batches_do_not_rewrite_closed_versions(spark, folder):
             history.read_history(spark, folder, unreadable)
 
 
+def store_prices(spark, given):
+    """(store, item, day, price) as price records."""
+    made = [(str(i), "7", str(s), f"i{i}", p, f"PriceFull7-{s}-{n:04}", stamp(n)) for s, i, n, p in given]
+    return spark.createDataFrame(made, RAW)
+
+
+def state_of(spark, folder, batch):
+    return {r.bucket: r.parts for r in spark.read.parquet(f"{folder}/manifest/batch={batch}").collect() if r.parts}
+
+
+def test_a_batch_writes_only_the_buckets_it_touches(spark, folder, monkeypatch):
+    monkeypatch.setattr(history, "MAX_PARTS", 3)
+    every = [(s, i, 0, "5") for s in range(20) for i in range(3)]
+    history.continue_history(store_prices(spark, every), 0, folder, buckets=8)
+    first = state_of(spark, folder, 0)
+    assert len(first) > 3 and all(p == ["rebuilt=false/batch=0"] for p in first.values())
+    given = list(every)
+    for n in range(1, 6):
+        batch = [(4, 0, n, str(n % 2))]
+        history.continue_history(store_prices(spark, batch), n, folder)  # the number of buckets is the history's
+        given += batch
+        now = state_of(spark, folder, n)
+        changed = [b for b in first if now[b] != first[b]]
+        assert len(changed) == 1 and len(now[changed[0]]) <= 3
+        written = spark.read.parquet(f"{folder}/versions").filter(f"batch = {n} AND kind = 'state'")
+        assert written.select("bucket").distinct().count() == 1
+        # All of the bucket once, when its parts were too many; else the entity alone.
+        assert (written.count() > 1) == (len(now[changed[0]]) == 1)
+        assert rows(history.read_history(spark, folder, n), *SCD) == rows(
+            scd2.build_versions(scd2.daily_observations(store_prices(spark, given))), *SCD
+        )
+    history.prune_active(spark, folder, keep=1)
+    assert history.read_active(spark, folder, 5).count() == 60
+    assert spark.read.parquet(f"{folder}/versions").filter("kind = 'state'").select("batch").distinct().count() == 4  # 0 for the untouched
+
+
+def test_late_rows_are_found_without_the_log_and_rebuild_their_bucket_only(spark, folder):
+    waves = [
+        [(s, i, 5, "5") for s in range(6) for i in range(2)],
+        [(1, 0, 5, "7"), (1, 1, 6, "9"), (2, 0, 7, "bad")],  # the same day again is late; an unreadable price is seen
+        [(2, 0, 6, "4"), (3, 1, 8, "5")],  # late because of the unreadable one
+        [(2, 0, 9, "4"), (1, 0, 10, "7")],
+    ]
+    given = []
+    for n, wave in enumerate(waves):
+        given += [(s, i, d, p) for s, i, d, p in wave]
+        stamped = [(str(i), "7", str(s), f"i{i}", p, f"PriceFull7-{s}-{d:04}-{n}", stamp(d, 3 + n)) for s, i, d, p in wave]
+        history.continue_history(spark.createDataFrame(stamped, RAW), n, folder, buckets=16)
+        every = [
+            (str(i), "7", str(s), f"i{i}", p, f"PriceFull7-{s}-{d:04}-{k}", stamp(d, 3 + k)) for k, w in enumerate(waves[: n + 1]) for s, i, d, p in w
+        ]
+        want = scd2.build_versions(scd2.daily_observations(spark.createDataFrame(every, RAW)))
+        assert rows(history.read_history(spark, folder, n), *SCD) == rows(want, *SCD)
+    late = spark.read.parquet(f"{folder}/versions").filter("kind = 'late'")
+    assert rows(late, "batch", "num_snif", "itemcode") == [(1, 1, 0), (2, 2, 0)]
+
+
+def test_an_attempt_that_was_lost_leaves_nothing_behind(spark, folder, monkeypatch):
+    history.continue_history(store_prices(spark, [(1, 0, 0, "5"), (2, 0, 0, "5")]), 0, folder)
+    batch = store_prices(spark, [(1, 0, 1, "6")])
+    with monkeypatch.context() as broken:
+        broken.setattr(history, "write_once", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            history.continue_history(store_prices(spark, [(1, 0, 1, "6"), (9, 9, 1, "1")]), 1, folder)
+    assert history.latest_batch(spark, folder) == 0
+    history.continue_history(batch, 1, folder)
+    assert rows(history.read_history(spark, folder, 1), "num_snif", "StartDate", "EndDate") == [(1, day(0), day(1)), (1, day(1), None), (2, day(0), None)]
+
+
 def test_messages_keep_microseconds(spark):
     stamp = dt.datetime(2024, 12, 1, 3, 0, 0, 123456)
     sent = spark.createDataFrame([("1", stamp)], "itemcode string, file_date timestamp")
