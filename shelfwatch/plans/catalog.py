@@ -20,6 +20,7 @@ from shelfwatch.sources import files, links
 from shelfwatch.sources.messages import file_stream
 from shelfwatch.sources.schemas import (
     ENTITY,
+    MESSAGE,
     PRICE_TAGS,
     RAW_PRICE,
     RAW_STORE,
@@ -29,7 +30,7 @@ from shelfwatch.sources.schemas import (
     TYPED_STORE,
 )
 from shelfwatch.streaming import history as stream_history
-from shelfwatch.streaming import landing
+from shelfwatch.streaming import landing, outbox
 from shelfwatch.streaming.consume import run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,11 +64,14 @@ def _latest(df: DataFrame, day: Column) -> Column:
 # ---- enrichment ---------------------------------------------------------------------------------
 
 
+def _some_dimensions(spark, sf):
+    """Chains and stores that some prices find no match in."""
+    return fixtures.chains(spark, sf, some=True), fixtures.stores(spark, sf, some=True)
+
+
 @query
 def price_fact(spark, sf):
-    return enrich.price_fact(
-        fixtures.prices(spark, sf), fixtures.chains(spark, sf), fixtures.stores(spark, sf)
-    )
+    return enrich.price_fact(fixtures.prices(spark, sf), *_some_dimensions(spark, sf))
 
 
 @query
@@ -78,13 +82,13 @@ def calendar_attrs(spark, sf):
 @query
 def join_chain(spark, sf):
     prices = fixtures.prices(spark, sf, ["itemcode", "file_name", "num_reshet"])
-    return enrich.join_chain(prices, fixtures.chains(spark, sf))
+    return enrich.join_chain(prices, fixtures.chains(spark, sf, some=True))
 
 
 @query
 def join_store(spark, sf):
     prices = fixtures.prices(spark, sf, ["itemcode", "file_name", "num_reshet", "num_snif"])
-    return enrich.join_store(prices, fixtures.stores(spark, sf))
+    return enrich.join_store(prices, fixtures.stores(spark, sf, some=True))
 
 
 @query
@@ -95,7 +99,7 @@ def staleness(spark, sf):
 @query
 def default_fill(spark, sf):
     prices = fixtures.prices(spark, sf, ["itemcode", "file_name", "num_reshet", "num_snif"])
-    joined = enrich.with_dimensions(prices, fixtures.chains(spark, sf), fixtures.stores(spark, sf))
+    joined = enrich.with_dimensions(prices, *_some_dimensions(spark, sf))
     return defaults.fill_unknown(joined).drop("zipcode")
 
 
@@ -122,8 +126,7 @@ def typed_stores(spark, sf):
 
 @query
 def json_encode(spark, sf):
-    columns = ["itemcode", "itemname", "itemprice", "allowdiscount", "file_name", "num_reshet", "num_snif", "file_date"]
-    return messages.encode(fixtures.prices(spark, sf, columns))
+    return messages.encode(fixtures.prices(spark, sf))
 
 
 @query
@@ -179,8 +182,7 @@ def filter_full_files(spark, sf):
 
 @query
 def latest_per_day(spark, sf):
-    columns = ["itemcode", "itemname", "itemprice", "file_name", "num_reshet", "num_snif", "file_date"]
-    return dedup.latest_per_day(fixtures.prices(spark, sf, columns))
+    return dedup.latest_per_day(fixtures.prices(spark, sf))
 
 
 @query
@@ -325,9 +327,7 @@ def sink_partitioned_fact(spark, sf):
     """Written twice: the second run replaces its own partitions."""
     path = fresh_dir(spark, "fact")
     fact = enrich.price_fact(
-        fixtures.observation_records(spark, sf).drop("value"),
-        fixtures.chains(spark, sf),
-        fixtures.stores(spark, sf),
+        fixtures.observation_records(spark, sf).drop("value"), *_some_dimensions(spark, sf)
     )
     for _ in range(2):
         tables.write_partitioned(fact, path, ["snapshot"])
@@ -394,6 +394,47 @@ def xml_stores_utf16(spark, sf):
     return files.read_stores(spark, path).select(*tags)
 
 
+def _deliver(spark, rows: DataFrame, inbox: str, root_tag: str, row_tag: str, **options) -> None:
+    """Put the rows of each ``file_name`` into the inbox as one XML document of that name."""
+    path = fresh_dir(spark, "documents")
+    writer = rows.repartition("file_name").write.format("xml").partitionBy("file_name")
+    writer.option("rootTag", root_tag).option("rowTag", row_tag).options(**options).save(path)
+    for name in tables.partition_values(spark, path, "file_name"):
+        [document] = tables.matching_paths(spark, f"{path}/file_name={name}/part-*")
+        tables.move_path(spark, document, f"{inbox}/{name}")
+
+
+@query
+def stream_stores(spark, sf):
+    """Store documents in two waves, each folded into the dimension when it comes."""
+    inbox, landed, dimension, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "stores", "dimension", "checkpoint"))
+    stores = fixtures.stores(spark, sf)
+    first = F.col("file_date") < F.lit(LANDED_BEFORE).cast("timestamp")
+    for wave in (stores.filter(first), stores.filter(~first)):
+        _deliver(
+            spark, wave.select(*STORE_TAGS.split(), "file_name"), inbox, "Stores", "Store",
+            encoding="UTF-16", declaration='version="1.0" encoding="UTF-16"',
+        )
+        for _ in range(2):  # the second time nothing is new
+            run_available(files.stream_files(spark, inbox), landing.store_document_sink(landed, dimension), checkpoint)
+    return landing.pinned_stores(spark, dimension).drop("run_time")
+
+
+@query
+def ingest_bad_files(spark, sf):
+    """Price documents, one per store and kind, of which some are not gzip: what was landed of each, or why not."""
+    inbox, landed, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "prices", "checkpoint"))
+    tags = PRICE_TAGS.split()
+    for bad in (False, True):
+        prices = fixtures.documents(spark, sf, bad)
+        compression = {} if bad else {"compression": "gzip"}
+        _deliver(spark, prices.select(*tags, "file_name"), inbox, "Items", "Item", **compression)
+        run_available(files.stream_files(spark, inbox), landing.document_sink(landed), checkpoint)
+    status = spark.read.parquet(landing.files_path(landed)).select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "reason")
+    rows = spark.read.parquet(landing.landed_path(landed)).groupBy("file_name").agg(F.count("*").alias("n_rows"))
+    return status.join(rows, "file_name", "left")
+
+
 @query
 def page_links(spark, sf):
     return links.page_links(
@@ -472,7 +513,7 @@ def dq_cast_failures(spark, sf):
 @query
 def dq_unmatched_dims(spark, sf):
     prices = fixtures.prices(spark, sf, ["itemcode", "file_name", "num_reshet", "num_snif"])
-    joined = enrich.with_dimensions(prices, fixtures.chains(spark, sf), fixtures.stores(spark, sf))
+    joined = enrich.with_dimensions(prices, *_some_dimensions(spark, sf))
     return quality.unmatched_dimensions(
         joined, {"chain": F.col("reshet_name").isNull(), "store": F.col("storename").isNull()}
     )
@@ -500,6 +541,29 @@ def offset_progress(spark, sf):
     return messages.progress(fixtures.log_messages(spark, sf))
 
 
+@query
+def offset_audit(spark, sf):
+    """Lost and repeated stretches of a log in which no product events and the signups twice have come."""
+    log = fixtures.log_messages(spark, sf, kinds=True).withColumn("offset", F.expr("offset div 4"))
+    kept = log.filter(F.col("kind") != "purchase")
+    return messages.audit(kept.union(log.filter(F.col("kind") == "signup")))
+
+
+@query
+def publish_outbox(spark, sf):
+    """Whole price records published in two batches, each tried twice, and read back from the log."""
+    log = fresh_dir(spark, "log")
+    prices = fixtures.prices(spark, sf)
+    full = F.col("file_name").startswith(filenames.FULL_PREFIX)
+    for publication, batch in enumerate([prices.filter(full), prices.filter(~full)]):
+        for _ in range(2):
+            outbox.publish(batch, "prices", log, publication, ["num_reshet", "num_snif"], ["file_name", "itemcode"])
+    found = spark.read.schema(MESSAGE).parquet(log)
+    ends = found.groupBy("partition").agg(F.max("offset").alias("last"), F.count("*").alias("n"))
+    gapless = found.join(ends.filter(F.col("last") == F.col("n") - 1), "partition")
+    return messages.decode(gapless, RAW_PRICE, keep=["topic"])
+
+
 # ---- streams ------------------------------------------------------------------------------------
 
 
@@ -545,7 +609,7 @@ def stream_two_sinks(spark, sf):
     """Two consumers of one log: the fact and the parsed rows, counted per day."""
     fact, parsed = fresh_dir(spark, "fact"), fresh_dir(spark, "parsed")
     sinks = {
-        "fact": landing.fact_sink(RAW_PRICE, fixtures.chains(spark, sf), fixtures.stores(spark, sf), fact),
+        "fact": landing.fact_sink(RAW_PRICE, *_some_dimensions(spark, sf), fact),
         "parsed": landing.parsed_sink(RAW_PRICE, parsed),
     }
     waves = [_price_log(h) for h in _halves(fixtures.observation_records(spark, sf))]

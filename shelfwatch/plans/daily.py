@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfwatch.operators import lifecycle
-from shelfwatch.plans import ingest
-from shelfwatch.sinks.tables import empty_files, path_exists, write_once
+from shelfwatch.operators.contract import Limits
+from shelfwatch.sinks.tables import empty_files, path_exists, prune_versions, write_once
 from shelfwatch.sources import files
-from shelfwatch.streaming import history, landing
+from shelfwatch.streaming import history, landing, outbox
 from shelfwatch.streaming.consume import run_available
 
 
@@ -27,15 +27,28 @@ class Places:
         return f"{self.root}/{name}"
 
 
+@dataclass(frozen=True)
+class Contract:
+    """What each step's batches must keep to; a broken limit stops the run before the batch counts as finished."""
+
+    prices: Limits = Limits({"n_unreadable_price": 0.5})
+    stores: Limits = Limits({"n_quarantined": 0.9})
+    fact: Limits = Limits({"n_unknown_chain": 0.9})
+
+
 @dataclass(frozen=True)
 class DayResult:
     landed: int  # batches of new documents, and how many of them each consumer took
     enriched: int
     observed: int
+    published: int
     expired_days: list[str]
     archived_days: list[str]
 
 
+TOPIC = "prices"
+
+
 def run_day(
     spark: SparkSession,
     places: Places,
@@ -43,39 +56,46 @@ def run_day(
     today: dt.date,
     chain: str | None = None,
     keep_days: int = lifecycle.KEEP_DAYS,
+    contract: Contract = Contract(),
 ) -> DayResult:
-    """Land new documents, enrich them, continue the history, then expire and archive old days.
+    """Land new documents, publish and enrich them, continue the history, then expire and archive old days.
 
     Damaged files are set aside by name and reason and stop nothing; bad store rows are kept as well.
-    Every step picks up where it stopped, so a run that failed anywhere is simply run again. Fact
-    and history follow the landed rows on their own checkpoints.
+    A batch beyond the limits is taken back and stops the run. Every step picks up where it stopped,
+    so a run that failed anywhere is simply run again. Publication, fact and history follow the
+    finished batches, each on its own checkpoint. The fact of a whole run is enriched with one
+    version of the stores.
     """
-    prices, fact = places.at("prices"), places.at("fact")
+    prices, stores, dimension, fact = (places.at(n) for n in ("prices", "stores", "store_dimension", "fact"))
     landed = run_available(
         files.stream_files(spark, places.price_inbox),
-        landing.document_sink(prices),
+        landing.document_sink(prices, contract.prices),
         places.at("checkpoints/landing"),
     )
     empty = [(path, "empty") for path in empty_files(spark, places.price_inbox)]
     write_once(spark.createDataFrame(empty, "path string, reason string"), places.at("prices_empty_files"))
-    records = ingest.store_records(files.read_stores(spark, places.store_inbox))
-    write_once(ingest.quarantined(records), places.at("stores_quarantined"))
-    stores = ingest.good(records)
-    enriched = observed = 0
-    if path_exists(spark, landing.landed_path(prices)):
-        enriched = run_available(
-            landing.landed_stream(spark, prices),
-            landing.fact_sink(None, chains, stores, fact),
-            places.at("checkpoints/fact"),
-        )
-        observed = run_available(
-            landing.landed_stream(spark, prices),
-            history.history_sink(None, places.at("history"), chain),
-            places.at("checkpoints/history"),
+    if path_exists(spark, places.store_inbox):
+        run_available(
+            files.stream_files(spark, places.store_inbox),
+            landing.store_document_sink(stores, dimension, contract.stores),
+            places.at("checkpoints/stores"),
         )
-        history.prune_active(spark, places.at("history"))
+        prune_versions(spark, dimension)
+    pinned = landing.pinned_stores(spark, dimension)
+
+    def follow(name: str, sink) -> int:
+        if not path_exists(spark, outbox.markers_path(prices)):
+            return 0
+        sink = outbox.following(landing.read_landed(prices), sink)
+        return run_available(outbox.finished_batches(spark, prices), sink, places.at(f"checkpoints/{name}"))
+
+    order = ["file_name", "itemcode"]
+    published = follow("publication", outbox.publish_sink(TOPIC, places.at("log"), ["num_reshet", "num_snif"], order))
+    enriched = follow("fact", landing.fact_sink(None, chains, pinned, fact, contract.fact))
+    observed = follow("history", history.history_sink(None, places.at("history"), chain))
+    history.prune_active(spark, places.at("history"))
     expired = lifecycle.drop_expired(spark, fact, today, keep_days)
     archived = lifecycle.archive(
         spark, landing.landed_path(prices), places.at("archive"), today, keep_days, "file_day"
     )
-    return DayResult(landed, enriched, observed, expired, archived)
+    return DayResult(landed, enriched, observed, published, expired, archived)

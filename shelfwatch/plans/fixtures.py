@@ -114,9 +114,11 @@ def prices(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -
     return rows.select(*[made[c].alias(c) for c in wanted])
 
 
-def chains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Registered chains: nations outside Europe, so that some prices have no chain."""
-    listed = table(spark, sf_dir, "region").filter(F.col("r_name") != "EUROPE")
+def chains(spark: SparkSession, sf_dir: str, some: bool = False) -> DataFrame:
+    """Registered chains: all nations; with ``some``, those outside Europe, so that some prices have no chain."""
+    listed = table(spark, sf_dir, "region")
+    if some:
+        listed = listed.filter(F.col("r_name") != "EUROPE")
     return (
         table(spark, sf_dir, "nation")
         .join(listed, F.col("n_regionkey") == F.col("r_regionkey"))
@@ -128,10 +130,13 @@ def chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stores as delivered twice, the second time with some changed addresses."""
+def stores(spark: SparkSession, sf_dir: str, some: bool = False) -> DataFrame:
+    """Stores as delivered twice, the second time with some changed addresses; with ``some``, only those of
+    suppliers below a balance, so that some prices have no store."""
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
-    listed = table(spark, sf_dir, "supplier").filter(F.col("s_acctbal") < 8000)
+    listed = table(spark, sf_dir, "supplier")
+    if some:
+        listed = listed.filter(F.col("s_acctbal") < 8000)
     first = F.when(F.col("s_acctbal") >= 500, F.concat(F.lit("Street "), F.col("s_suppkey").cast("string")))
     later = F.when(
         F.col("s_acctbal") >= 6000, F.concat(F.lit("Avenue "), F.col("s_suppkey").cast("string"))
@@ -180,13 +185,23 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A four-partition message log with the events' own JSON as values."""
+def documents(spark: SparkSession, sf_dir: str, bad: bool) -> DataFrame:
+    """Raw prices by document: one of each kind per store; bad ones are those of suppliers in debt."""
+    debt = table(spark, sf_dir, "supplier").filter((F.col("s_acctbal") < 0) == F.lit(bad))
+    debt = debt.select(_padded("s_suppkey", 6).alias("num_snif"))
+    rows = prices(spark, sf_dir).join(debt, "num_snif", "left_semi")
+    kind = F.when(F.col("file_name").startswith("PriceFull"), F.lit("PriceFull")).otherwise(F.lit("Price"))
+    return rows.withColumn("file_name", F.concat(kind, "num_reshet", F.lit("-"), "num_snif", F.lit("-199901010300.gz")))
+
+
+def log_messages(spark: SparkSession, sf_dir: str, kinds: bool = False) -> DataFrame:
+    """A four-partition message log with the events' own JSON as values; with ``kinds``, the events' type too."""
     return table(spark, sf_dir, "events").select(
         F.col("props").alias("value"),
         F.lit("prices").alias("topic"),
         (F.col("event_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
+        *([F.col("event_type").alias("kind")] if kinds else []),
     )
 
 

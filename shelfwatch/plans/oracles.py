@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from shelfwatch.plans.catalog import LANDED_BEFORE, LATE_ABOVE, MIDDLE_DAY
 from shelfwatch.plans.fixtures import OBS_CHAINS
-from shelfwatch.sources.schemas import FACT_WIDTHS, PRICE_TAGS, STORE_TAGS, TYPED_FACT, TYPED_PRICE
+from shelfwatch.sources.schemas import FACT_WIDTHS, PRICE_TAGS, RAW_PRICE, STORE_TAGS, TYPED_FACT, TYPED_PRICE
 
 DEC = "DECIMAL(18,4)"
 SQL_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "price": DEC, "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
@@ -35,13 +35,15 @@ prices AS (
   LEFT JOIN orders ON o_orderkey = l_orderkey
   LEFT JOIN part ON p_partkey = l_partkey)"""
 
-CHAINS = """
+ALL_CHAINS = """
 chains AS (
   SELECT n_name AS reshet_name, CAST(n_nationkey AS BIGINT) AS reshet_num,
          'https://' || lower(r_name) || '.example' AS vendor_website
-  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'EUROPE')"""
+  FROM nation JOIN region ON n_regionkey = r_regionkey)"""
+# Those that some prices find no match in.
+CHAINS = ALL_CHAINS.removesuffix(")") + " WHERE r_name <> 'EUROPE')"
 
-STORES = """
+ALL_STORES = """
 stores AS (
   SELECT CAST(s_suppkey AS VARCHAR) AS storeid, CAST(NULL AS VARCHAR) AS bikoretno, '1' AS storetype,
          s_name AS storename,
@@ -53,8 +55,8 @@ stores AS (
          'Stores' || s_nationkey || '-' || strftime(stamp, '%Y%m%d%H%M') || '.xml' AS file_name,
          CAST(s_nationkey AS VARCHAR) AS num_reshet, stamp AS file_date, stamp AS run_time
   FROM supplier LEFT JOIN nation ON n_nationkey = s_nationkey,
-       (VALUES (false, TIMESTAMP '1995-01-01 06:00:00'), (true, TIMESTAMP '2001-01-01 06:00:00')) d(late, stamp)
-  WHERE s_acctbal < 8000)"""
+       (VALUES (false, TIMESTAMP '1995-01-01 06:00:00'), (true, TIMESTAMP '2001-01-01 06:00:00')) d(late, stamp))"""
+STORES = ALL_STORES.removesuffix(")") + " WHERE s_acctbal < 8000)"
 
 STORE_DIM = """
 store_rank AS (
@@ -187,6 +189,16 @@ _LANDED = """CASE WHEN starts_with(file_name, 'Price') THEN replace(file_name, '
   ELSE replace(file_name, '.xml', '.parquet') END"""
 _TARGET = "CASE WHEN starts_with(file_name, 'Price') THEN 'prices' ELSE 'snifim' END"
 
+
+
+def _json(columns: list[str]) -> str:
+    """A record as JSON text, null fields left out."""
+    times = ("file_date", "run_time")
+    shown = [f"strftime({c}, '%Y-%m-%dT%H:%M:%S.%fZ')" if c in times else c for c in columns]
+    fields = ", ".join(f"'\"{c}\":\"' || {x} || '\"'" for c, x in zip(columns, shown))
+    return f"'{{' || array_to_string(list_filter([{fields}], lambda x: x IS NOT NULL), ',') || '}}'"
+
+
 ORACLES: dict[str, str] = {
     "price_fact": _with(*ALL_DIMS, FACT) + "SELECT * FROM fact",
     "calendar_attrs": _with(PRICES) + f"SELECT itemcode, file_name, file_date, run_time, {CALENDAR} FROM prices",
@@ -203,18 +215,14 @@ ORACLES: dict[str, str] = {
     + f"""SELECT itemcode, p.file_name, p.num_reshet, TRY_CAST(num_snif AS INTEGER) AS num_snif,
                  coalesce(reshet_name, 'Unknown') AS reshet_name, coalesce(storename, 'Unknown') AS storename,
                  coalesce(address, 'Unknown') AS address, coalesce(city, 'Unknown') AS city FROM {JOINED}""",
-    "zip_sentinel": _with(STORES)
+    "zip_sentinel": _with(ALL_STORES)
     + """SELECT storeid, file_name, zipcode,
                 CASE WHEN zipcode = 'unknown' THEN -999 ELSE TRY_CAST(zipcode AS INTEGER) END AS zip_number FROM stores""",
     "typed_projection": _with(PRICES) + _typed("prices", TYPED_PRICE),
-    "typed_stores": _with(STORES)
+    "typed_stores": _with(ALL_STORES)
     + _typed("stores", {"storeid": "int", "bikoretno": "int", "storetype": "int", "num_reshet": "bigint"}),
-    "json_encode": _with(PRICES)
-    + """SELECT '{"itemcode":"' || itemcode || '","itemname":"' || itemname || '","itemprice":"' || itemprice
-           || '","allowdiscount":"' || allowdiscount || '","file_name":"' || file_name || '","num_reshet":"' || num_reshet
-           || '","num_snif":"' || num_snif || '","file_date":"' || strftime(file_date, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}' AS value
-         FROM prices""",
-    "backfill_messages": _with(STORES)
+    "json_encode": _with(PRICES) + f"SELECT {_json(RAW_PRICE.names)} AS value FROM prices",
+    "backfill_messages": _with(ALL_STORES)
     + """SELECT '{"storeid":"' || storeid || '","storetype":"' || storetype || '","storename":"' || storename || '"'
            || coalesce(',"address":"' || address || '"', '') || ',"city":"' || city || '"'
            || coalesce(',"zipcode":"' || zipcode || '"', '') || ',"file_name":"' || file_name || '","num_reshet":"' || num_reshet
@@ -222,7 +230,7 @@ ORACLES: dict[str, str] = {
            || '","run_time":"' || strftime(run_time, '%Y-%m-%dT%H:%M:%S.%fZ') || '"}' AS value FROM stores""",
     "json_decode": """SELECT TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, 'prices' AS topic,
            CAST(event_id % 4 AS INTEGER) AS "partition", event_id AS "offset" FROM events""",
-    "filename_attrs": _with(PRICES, STORES, _NAMES)
+    "filename_attrs": _with(PRICES, ALL_STORES, _NAMES)
     + f"""SELECT file_name,
             replace(replace(replace(split_part(file_name, '-', 1), 'PriceFull', ''), 'Price', ''), 'Stores', '') AS num_reshet,
             CASE WHEN starts_with(file_name, 'Price') THEN split_part(file_name, '-', 2) END AS num_snif,
@@ -235,12 +243,11 @@ ORACLES: dict[str, str] = {
          WHERE starts_with(file_name, 'PriceFull') AND num_reshet = '15'""",
     "latest_per_day": _with(PRICES)
     + """SELECT * EXCLUDE (rn) FROM (
-           SELECT itemcode, itemname, itemprice, file_name, num_reshet, num_snif, file_date,
-                  CAST(file_date AS DATE) AS file_day,
+           SELECT *, CAST(file_date AS DATE) AS file_day,
                   row_number() OVER (PARTITION BY itemcode, num_reshet, num_snif, CAST(file_date AS DATE)
                     ORDER BY file_date DESC, file_name DESC, itemprice DESC, itemname DESC) AS rn FROM prices) WHERE rn = 1""",
-    "store_dedup": _with(STORES, STORE_DIM) + "SELECT * FROM store_dim",
-    "store_dedup_rows": _with(STORES)
+    "store_dedup": _with(ALL_STORES, STORE_DIM) + "SELECT * FROM store_dim",
+    "store_dedup_rows": _with(ALL_STORES)
     + "SELECT DISTINCT num_reshet, storeid, storename, address, city, zipcode FROM stores",
     "dup_audit": _with(PRICES)
     + """SELECT count(file_name) AS n_names, count(DISTINCT file_name) AS n_distinct,
@@ -302,7 +309,7 @@ daily AS (
     + f"""SELECT num_reshet, count(*) AS n_prices, count(DISTINCT itemcode) AS n_items,
                  CAST(sum(CAST(itemprice AS {DEC})) AS DECIMAL(28,4)) AS total_price FROM prices GROUP BY num_reshet""",
     "xml_items": _with(PRICES) + f"SELECT {', '.join(PRICE_TAGS.split())}, num_reshet FROM prices",
-    "xml_stores_utf16": _with(STORES) + f"SELECT {', '.join(STORE_TAGS.split())} FROM stores",
+    "xml_stores_utf16": _with(ALL_STORES) + f"SELECT {', '.join(STORE_TAGS.split())} FROM stores",
     "page_links": rf"""
 WITH tags AS (SELECT page_id, regexp_extract_all(html, '(?is)<a\s[^>]*>') AS t FROM pages),
 one AS (SELECT page_id, CAST(unnest(range(len(t))) AS INTEGER) AS position, unnest(t) AS tag FROM tags),
@@ -319,8 +326,8 @@ SELECT * FROM links WHERE starts_with(link, '/')""",
     + f"""SELECT "offset", {_REASON} AS reason, value FROM damaged WHERE {_REASON} IS NOT NULL""",
     "ingest_good": _with(_DAMAGED)
     + f"""SELECT "offset", CAST(user_id AS VARCHAR) AS itemcode, price AS itemprice FROM damaged WHERE {_REASON} IS NULL""",
-    "dim_chain_load": _with(CHAINS) + "SELECT *, TIMESTAMP '2024-12-01 20:00:00' AS run_time FROM chains",
-    "coverage_missing": _with(PRICES, STORES)
+    "dim_chain_load": _with(ALL_CHAINS) + "SELECT *, TIMESTAMP '2024-12-01 20:00:00' AS run_time FROM chains",
+    "coverage_missing": _with(PRICES, ALL_STORES)
     + """, expected AS (SELECT DISTINCT num_reshet, CAST(storeid AS INTEGER) AS num_snif FROM stores),
          days AS (SELECT CAST(unnest(generate_series(min(CAST(file_date AS DATE)), max(CAST(file_date AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day FROM prices)
          SELECT num_reshet, num_snif, day FROM expected, days
@@ -357,6 +364,28 @@ SELECT * FROM links WHERE starts_with(link, '/')""",
                 max(file_date) AS last_date FROM prices""",
     "offset_progress": """SELECT 'prices' AS topic, CAST(event_id % 4 AS INTEGER) AS "partition",
            max(event_id) AS latest_offset FROM events GROUP BY ALL""",
+    "offset_audit": """
+WITH log AS (SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS o, event_type FROM events),
+seen AS (SELECT DISTINCT "partition", o FROM log WHERE event_type <> 'purchase'),
+gaps AS (SELECT "partition", o + 1 AS a, lead(o) OVER (PARTITION BY "partition" ORDER BY o) - 1 AS b FROM seen),
+twice AS (SELECT "partition", o, o - row_number() OVER (PARTITION BY "partition" ORDER BY o) AS run
+          FROM (SELECT DISTINCT "partition", o FROM log WHERE event_type = 'signup')),
+found AS (
+  SELECT "partition", 'lost' AS kind, a, b FROM gaps WHERE a <= b
+  UNION ALL SELECT "partition", 'repeated', min(o), max(o) FROM twice GROUP BY "partition", run)
+SELECT 'prices' AS topic, "partition", kind, a AS first_offset, b AS last_offset, b - a + 1 AS n_offsets FROM found""",
+    "publish_outbox": _with(PRICES) + "SELECT *, 'prices' AS topic FROM prices",
+    "stream_stores": _with(ALL_STORES, STORE_DIM) + "SELECT * EXCLUDE (run_time) FROM store_dim",
+    "ingest_bad_files": _with(
+        PRICES,
+        """
+documents AS (
+  SELECT CASE WHEN starts_with(file_name, 'PriceFull') THEN 'PriceFull' ELSE 'Price' END || num_reshet || '-' || num_snif
+           || '-199901010300.gz' AS file_name, s_acctbal < 0 AS bad
+  FROM prices JOIN supplier ON s_suppkey = CAST(num_snif AS BIGINT))""",
+    )
+    + """SELECT file_name, CASE WHEN bad THEN 'not_gzip' END AS reason, CASE WHEN NOT bad THEN count(*) END AS n_rows
+         FROM documents GROUP BY file_name, bad""",
     "stream_two_sinks": _with(OBS)
     + """SELECT CAST(file_date AS DATE) AS day, count(*) AS n_rows, consumer
          FROM obs, (VALUES ('fact'), ('parsed')) c(consumer) GROUP BY ALL""",

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwatch.operators import scd2
+from shelfwatch.operators import messages, scd2
 from shelfwatch.operators.messages import decode, encode
 from shelfwatch.plans import daily
 from shelfwatch.sinks.messages import publish_files
@@ -122,18 +122,22 @@ def test_daily_runs(spark, folder):
     chains = spark.createDataFrame([("Chain", 7290)], "reshet_name string, reshet_num long")
     put(places.price_inbox, "Price7290.gz", gzip.compress(ITEMS.encode()))  # nothing good to land yet
     first = daily.run_day(spark, places, chains, dt.date.today(), keep_days=36500)
-    assert (first.landed, first.enriched, first.observed) == (1, 0, 0)
+    assert (first.landed, first.enriched, first.observed, first.published) == (1, 1, 1, 1)
     for n, price in enumerate(["5", "6", "6"]):
         put(places.price_inbox, *price_document(n, price))
         got = daily.run_day(spark, places, chains, dt.date.today(), keep_days=36500)
-        assert (got.landed, got.enriched, got.observed) == (1, 1, 1)
+        assert (got.landed, got.enriched, got.observed, got.published) == (1, 1, 1, 1)
     again = daily.run_day(spark, places, chains, dt.date.today(), keep_days=36500)
-    assert (again.landed, again.enriched, again.observed) == (0, 0, 0)
+    assert (again.landed, again.enriched, again.observed, again.published) == (0, 0, 0, 0)
+    log = spark.read.parquet(places.at("log"))
+    assert rows(log, "offset") == [(n,) for n in range(6)] and log.select("partition").distinct().count() == 1
+    landed_rows = spark.read.parquet(landing.landed_path(places.at("prices")))
+    assert rows(decode(log, RAW_PRICE, keep=[])) == rows(landed_rows.select(*RAW_PRICE.names))
     fact = spark.read.parquet(places.at("fact"))
     assert rows(fact, "itemcode", "reshet_name", "storename", "zipcode", "itemprice")[0][:4] == (1, "Chain", "חיפה", -999)
     assert fact.count() == 6
-    assert partition_values(spark, places.at("history/manifest"), "batch") == ["1", "2"]
-    versions = history.read_history(spark, places.at("history"), 2)
+    assert partition_values(spark, places.at("history/manifest"), "batch") == ["2", "3"]
+    versions = history.read_history(spark, places.at("history"), 3)
     assert rows(versions, "itemcode", "StartDate", "EndDate") == [
         (1, day(0), day(1)), (1, day(1), None), (2, day(0), None)
     ]
@@ -282,3 +286,28 @@ def test_messages_keep_microseconds(spark):
     stamp = dt.datetime(2024, 12, 1, 3, 0, 0, 123456)
     sent = spark.createDataFrame([("1", stamp)], "itemcode string, file_date timestamp")
     assert decode(encode(sent), sent.schema, keep=[]).collect() == sent.collect()
+
+
+@pytest.mark.parametrize("stretch", [1_000_000, 3])
+def test_audit_lists_lost_and_repeated_stretches(spark, monkeypatch, stretch):
+    monkeypatch.setattr(messages, "STRETCH", stretch)
+    rng = random.Random(stretch)
+    log = [(p, o) for p in (0, 1) for o in range(5, 60) if rng.random() < 0.8 for _ in range(1 + (rng.random() < 0.3))]
+    df = spark.createDataFrame([("v", "t", p, o) for p, o in log] + [("v", "t", 2, None), ("v", "t", 3, 7)], MESSAGE)
+
+    def stretches(offsets):
+        found = []
+        for o in sorted(offsets):
+            if found and found[-1][1] == o - 1:
+                found[-1][1] = o
+            else:
+                found.append([o, o])
+        return found
+
+    want = []
+    for p in (0, 1):
+        seen = [o for q, o in log if q == p]
+        want += [("t", p, "lost", a, b, b - a + 1) for a, b in stretches(set(range(min(seen), max(seen))) - set(seen))]
+        want += [("t", p, "repeated", a, b, b - a + 1) for a, b in stretches({o for o in seen if seen.count(o) > 1})]
+    assert rows(messages.audit(df)) == sorted(want, key=repr)
+    assert messages.audit(df.limit(0)).count() == 0
