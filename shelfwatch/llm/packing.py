@@ -4,8 +4,9 @@ Documents are tokenised in the tasks, every distinct word of a block once. Only
 cut. Pieces are packed in bounded groups: best fit from the longest piece down, then the local search takes the
 emptiest bins in turn and moves their pieces into other underfull bins, alone, in exchange for one smaller piece, two
 for one, or one for two, always so that the sum of squared fills rises, until the bin is empty or nothing helps. Bins
-still underfull are spread over fewer groups and packed again; the number of such rounds and the group size are fixed,
-so no task ever holds more than one group, whatever the lengths are.
+still underfull are dealt anew into groups by their number and packed again; the number of such rounds and the group
+size are fixed, so no task ever holds more than one group, whatever the lengths are. The search gives up a group after
+FUTILE_BINS bins in a row that it could not empty, and looks at BINS_LOOKED_AT others per step.
 
 Defined results: a null or empty text is the closing id alone; repeated rows are packed each; a null id is kept;
 columns other than the id and the text are ignored.
@@ -17,6 +18,7 @@ import functools
 import os
 import zlib
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,9 @@ CLOSING_ID = 0
 GROUP_PIECES = 40_000
 REGROUPINGS = 2
 WORDS_KEPT = 1_000_000
+# New words that the tokenizer reads as one text, and in one call.
+WORDS_AT_ONCE = 100
+NEW_AT_ONCE = 100_000
 BLOCK_CHARS = 4_000_000
 # Search effort per group: bins looked at in a step, and bins in a row that nothing can be done for.
 BINS_LOOKED_AT = 300
@@ -65,12 +70,26 @@ class WordIds(dict):
         if len(self) > WORDS_KEPT:
             self.clear()
         new = list(set().union(*split).difference(self))
-        for word, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self[word] = np.array(found.ids, "<u4").tobytes()
+        for at in range(0, len(new), NEW_AT_ONCE):
+            self._learn(new[at : at + NEW_AT_ONCE])
         closing = np.array([CLOSING_ID], "<u4").tobytes()
         return [b"".join(map(self.__getitem__, s)) + closing for s in split]
 
 
+    def _learn(self, words: list[str]) -> None:
+        """Ids of words from texts of many: a token belongs to the word in which it begins."""
+        groups = [words[at : at + WORDS_AT_ONCE] for at in range(0, len(words), WORDS_AT_ONCE)]
+        for group, found in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, "<u4").tobytes()
+            ends = np.cumsum([len(w) + 1 for w in group])
+            begins = np.fromiter(chain.from_iterable(found.offsets), np.int64, len(ids) // 2)[::2]
+            cuts = (4 * np.searchsorted(begins, ends)).tolist()
+            at = 0
+            for word, cut in zip(group, cuts):
+                self[word] = ids[at:cut]
+                at = cut
+
+
 def _blocks(texts):
     begin, size, out = 0, 0, []
     for i, text in enumerate(texts):
@@ -279,11 +298,11 @@ def pack_sequences(found: DataFrame, length: int = 2048) -> DataFrame:
     whole = found.filter(F.col("length") == length)
     rest = found.filter(F.col("length") < length)
     out = [_alone(whole, length)]
-    partitions = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for number in range(REGROUPINGS + 1):
         last = number == REGROUPINGS
+        groups = max(1, -(-rest.count() // GROUP_PIECES))
         # Dealt by all columns, so every group gets the same mix of lengths, and a lost task the same rows again.
-        dealt = rest.repartition(max(1, partitions // 16**number), F.xxhash64(*columns, F.lit(number)))
+        dealt = rest.repartition(groups, F.xxhash64(*columns, F.lit(number)))
         packed = saved(
             dealt.mapInArrow(_packed_rows(length, number + 1, last), f"{schema}, sequence_id long, offset long, again boolean"),
             "packed",
