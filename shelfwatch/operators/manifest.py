@@ -29,16 +29,20 @@ def object_listing(spark, path: str, glob: str | None = None) -> DataFrame:
     return reader.load(path).select("path", "modificationTime", "length")
 
 
+def named(names: DataFrame) -> DataFrame:
+    """File names with the name of the object each lands as, and their target table."""
+    return names.withColumns(
+        {"landed_name": landed_name(F.col("file_name")), "target": target_of(F.col("file_name"))}
+    )
+
+
 def new_files(discovered: DataFrame, landed: DataFrame) -> DataFrame:
     """Discovered files whose landed object does not exist yet, with their target table.
 
     Both sides are distinct names, so the anti join has no repeated keys.
     """
-    names = discovered.select("file_name").distinct()
-    named = names.withColumns(
-        {"landed_name": landed_name(F.col("file_name")), "target": target_of(F.col("file_name"))}
-    )
-    return named.join(landed.select("landed_name").distinct(), "landed_name", "left_anti")
+    names = named(discovered.select("file_name").distinct())
+    return names.join(landed.select("landed_name").distinct(), "landed_name", "left_anti")
 
 
 def duplicate_names(listing: DataFrame, column: str = "file_name") -> DataFrame:

@@ -30,7 +30,7 @@ from shelfwatch.sources.schemas import (
     TYPED_STORE,
 )
 from shelfwatch.streaming import history as stream_history
-from shelfwatch.streaming import landing, outbox
+from shelfwatch.streaming import intake, landing, outbox
 from shelfwatch.streaming.consume import run_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -449,12 +449,16 @@ def file_manifest(spark, sf):
 
 @query
 def new_files_anti(spark, sf):
-    """Files listed but not landed yet, when everything before a date has landed."""
-    seen = fixtures.prices(spark, sf, ["file_name", "file_date"])
-    landed = manifest.file_manifest(seen).filter(F.col("last_date") < F.lit(LANDED_BEFORE).cast("timestamp"))
-    return manifest.new_files(
-        seen, landed.select(filenames.landed_name(F.col("file_name")).alias("landed_name"))
-    )
+    """Files listed but not planned yet, when everything before a date was taken in two batches."""
+    root, listed = fresh_dir(spark, "intake"), fresh_dir(spark, "listed")
+    seen = manifest.file_manifest(fixtures.prices(spark, sf, ["file_name", "file_date"]))
+    tables.write_once(seen.select(F.col("file_name").alias("path"), F.col("n_rows").alias("length"), "last_date"), listed)
+    listing = spark.read.parquet(listed)
+    full = F.col("path").startswith(filenames.FULL_PREFIX)
+    taken = listing.filter(F.col("last_date") < F.lit(LANDED_BEFORE).cast("timestamp"))
+    for batch in (taken.filter(full), taken):
+        intake.plan(batch, root)
+    return manifest.named(intake.unseen(listing, root).select(F.col("path").alias("file_name")))
 
 
 @query
@@ -492,17 +496,27 @@ def dim_chain_load(spark, sf):
 # ---- contracts and quality ----------------------------------------------------------------------
 
 
-@query
-def coverage_missing(spark, sf):
-    """Days without any file, per known store, over the span of all files."""
+def _coverage(spark, sf):
+    """Known stores, the days they delivered files on, and the first and last day of all files."""
     expected = enrich.store_dimension(fixtures.stores(spark, sf))
     delivered = fixtures.prices(spark, sf, ["num_reshet", "num_snif", "file_date"]).select(
         "num_reshet", to_whole(F.col("num_snif"), "int").alias("num_snif"), F.to_date("file_date").alias("day")
     )
-    span = delivered.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
-    return coverage.missing_days(
-        expected, delivered, ["num_reshet", "num_snif"], "day", F.lit(span.lo), F.lit(span.hi)
-    )
+    days = fixtures.prices(spark, sf, ["file_date"]).select(F.to_date("file_date").alias("day"))
+    first, last = (days.agg(f("day")).scalar() for f in (F.min, F.max))
+    return expected, delivered, ["num_reshet", "num_snif"], "day", first, last
+
+
+@query
+def coverage_missing(spark, sf):
+    """Days without any file, per known store, over the span of all files."""
+    return coverage.missing_days(*_coverage(spark, sf))
+
+
+@query
+def coverage_gaps(spark, sf):
+    """The same as stretches of days."""
+    return coverage.gaps(*_coverage(spark, sf))
 
 
 @query

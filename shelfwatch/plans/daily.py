@@ -7,12 +7,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwatch.operators import lifecycle
+from shelfwatch.operators import lifecycle, manifest
 from shelfwatch.operators.contract import Limits
 from shelfwatch.sinks.tables import empty_files, path_exists, prune_versions, write_once
-from shelfwatch.sources import files
-from shelfwatch.streaming import history, landing, outbox
-from shelfwatch.streaming.consume import run_available
+from shelfwatch.streaming import history, intake, landing, outbox
+from shelfwatch.streaming.consume import Sink, run_available
 
 
 @dataclass(frozen=True)
@@ -67,23 +66,25 @@ def run_day(
     version of the stores.
     """
     prices, stores, dimension, fact = (places.at(n) for n in ("prices", "stores", "store_dimension", "fact"))
-    landed = run_available(
-        files.stream_files(spark, places.price_inbox),
-        landing.document_sink(prices, contract.prices),
-        places.at("checkpoints/landing"),
-    )
+    def take(name: str, inbox: str, sink: Sink) -> int:
+        """Plan what is new in bounded batches, and do all that are planned and not finished."""
+        if not path_exists(spark, inbox):
+            return 0
+        root = places.at(f"intake/{name}")
+        intake.plan(manifest.object_listing(spark, inbox).filter("length > 0"), root)
+        todo = intake.pending(spark, root, outbox.finished(spark, places.at(name)))
+        for batch in todo:
+            sink(intake.names(spark, root, [batch]).select("path"), batch)
+        return len(todo)
+
+    landed = take("prices", places.price_inbox, landing.document_sink(prices, contract.prices))
     empty = [(path, "empty") for path in empty_files(spark, places.price_inbox)]
     write_once(spark.createDataFrame(empty, "path string, reason string"), places.at("prices_empty_files"))
-    if path_exists(spark, places.store_inbox):
-        run_available(
-            files.stream_files(spark, places.store_inbox),
-            landing.store_document_sink(stores, dimension, contract.stores),
-            places.at("checkpoints/stores"),
-        )
-        prune_versions(spark, dimension)
+    take("stores", places.store_inbox, landing.store_document_sink(stores, dimension, contract.stores))
+    prune_versions(spark, dimension)
     pinned = landing.pinned_stores(spark, dimension)
 
-    def follow(name: str, sink) -> int:
+    def follow(name: str, sink: Sink) -> int:
         if not path_exists(spark, outbox.markers_path(prices)):
             return 0
         sink = outbox.following(landing.read_landed(prices), sink)

@@ -44,11 +44,10 @@ def prices(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -
     The lookups are left joins on unique keys, so one whose columns are not asked for is left out.
     """
     wanted = columns or RAW_PRICE.fieldNames()
-    rows = table(spark, sf_dir, "lineitem").join(
-        table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"),
-        "l_suppkey",
-        "left",
-    )
+    rows = table(spark, sf_dir, "lineitem")
+    if {"num_reshet", "file_name"} & set(wanted):
+        supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
+        rows = rows.join(supplier, "l_suppkey", "left")
     if "priceupdatedate" in wanted:
         orders = table(spark, sf_dir, "orders")
         rows = rows.join(
@@ -68,7 +67,7 @@ def prices(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -
     file_date = F.timestamp_add("HOUR", hours, _stamp("l_shipdate"))
     rows = rows.withColumns(
         {
-            "num_reshet": F.col("s_nationkey").cast("string"),
+            **({"num_reshet": F.col("s_nationkey").cast("string")} if "s_nationkey" in rows.columns else {}),
             "num_snif": _padded("l_suppkey", 6),
             "file_date": file_date,
             "run_time": F.timestamp_add("HOUR", F.lit(20), _stamp("l_shipdate")),

@@ -332,6 +332,16 @@ SELECT * FROM links WHERE starts_with(link, '/')""",
          days AS (SELECT CAST(unnest(generate_series(min(CAST(file_date AS DATE)), max(CAST(file_date AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day FROM prices)
          SELECT num_reshet, num_snif, day FROM expected, days
          EXCEPT SELECT num_reshet, CAST(num_snif AS INTEGER), CAST(file_date AS DATE) FROM prices""",
+    "coverage_gaps": _with(PRICES, ALL_STORES)
+    + """, expected AS (SELECT DISTINCT num_reshet, CAST(storeid AS INTEGER) AS num_snif FROM stores),
+         span AS (SELECT min(CAST(file_date AS DATE)) AS a, max(CAST(file_date AS DATE)) AS b FROM prices),
+         missing AS (
+           SELECT num_reshet, num_snif, CAST(d AS DATE) AS day
+           FROM expected, span, LATERAL (SELECT unnest(generate_series(a, b, INTERVAL 1 DAY)) AS d) x
+           EXCEPT SELECT num_reshet, CAST(num_snif AS INTEGER), CAST(file_date AS DATE) FROM prices),
+         runs AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY num_reshet, num_snif ORDER BY day) AS INTEGER) AS run FROM missing)
+         SELECT num_reshet, num_snif, min(day) AS first_day, max(day) AS last_day, CAST(count(*) AS INTEGER) AS n_days
+         FROM runs GROUP BY num_reshet, num_snif, run""",
     "dq_cast_failures": _with(PRICES)
     + _per_column(
         "prices",
