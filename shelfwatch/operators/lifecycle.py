@@ -59,12 +59,13 @@ def archive(
     today: dt.date,
     days: int = KEEP_DAYS,
     column: str = "snapshot",
+    delivery: Column | None = None,
 ) -> list[str]:
     """Move expired partitions to an archive partitioned by month, day and delivery.
 
-    A delivery is a source file, known by its name, which no later file has. So a late file for a
-    day that was archived before is added to it, and a repeated run replaces only what it wrote
-    itself. The originals go only after the archive was read back and every delivery has as many
+    A delivery is the batch that landed the rows, if the caller names it, else a source file, known
+    by its name, which no later file has. So what comes late for a day that was archived before is
+    added to it, and a repeated run replaces only what it wrote itself. The originals go only after the archive was read back and every delivery has as many
     rows as its source.
     """
     last_expired = today - dt.timedelta(days=days)
@@ -75,7 +76,7 @@ def archive(
     old = old.withColumns(
         {
             "archive_month": F.date_format(column, "yyyy-MM"),
-            "delivery": F.hex(F.xxhash64(F.col("_metadata.file_name"))),
+            "delivery": F.hex(F.xxhash64(F.col("_metadata.file_name"))) if delivery is None else delivery.cast("string"),
         }
     )
     write_partitioned(old, archive_path, ["archive_month", column, "delivery"])

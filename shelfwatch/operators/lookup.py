@@ -1,4 +1,4 @@
-"""Left lookup into a dimension: broadcast when measured small, salted shuffle join otherwise."""
+"""Left lookup into a dimension: broadcast when measured small, else a shuffle join with measured hot keys salted."""
 
 from __future__ import annotations
 
@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-REPEATED_BYTES = 256 * 1024**3
+# Keys the sketch of hot ones keeps, and the most it tells.
+TRACKED = 100_000
+MOST_HOT = 10_000
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -18,10 +20,16 @@ def measured_bytes(df: DataFrame) -> int:
     return df.select(reduce(add, widths).alias("w")).agg(F.sum("w")).first()[0] or 0
 
 
-def salt_count(facts: DataFrame, dim_bytes: int) -> int:
-    """One salt per shuffle partition, as long as the repeated dimension stays affordable."""
+def hot_keys(facts: DataFrame, on: list[str]) -> list[int]:
+    """Hashes of the keys that hold more rows than a shuffle partition's fair share, by a sketch over one pass.
+
+    There can be no more of them than partitions. The sketch tracks ``TRACKED`` keys and may count a
+    key too high, never one that hot too low to be listed; a key named in vain is salted in vain.
+    """
     partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(partitions, REPEATED_BYTES // max(dim_bytes, 1)))
+    key = F.xxhash64(*on)
+    top = facts.agg(F.call_function("approx_top_k", key, F.lit(min(partitions, MOST_HOT)), F.lit(TRACKED)).alias("top"), F.count("*").alias("n")).first()
+    return [t["item"] for t in top.top or [] if t["count"] * partitions > top.n]
 
 
 def attach(
@@ -34,10 +42,11 @@ def attach(
 ) -> DataFrame:
     """Left join ``facts`` to ``dim`` on equal-named keys.
 
-    A dimension is broadcast only after its size was measured. Beyond the bound, the rows of one
-    key (a chain may hold a third of all prices) are spread over many join partitions: the salt is
-    a hash of the ``spread`` columns, so a re-run task repeats it, and the dimension is repeated
-    once per salt. Each fact row meets each of its dimension rows exactly once either way.
+    A dimension is broadcast only after its size was measured. Beyond the bound, the rows of a hot
+    key (a chain may hold a third of all prices) are spread over all join partitions: the salt is a
+    hash of the ``spread`` columns, so a re-run task repeats it. Which keys are hot is measured, and
+    only their dimension rows are repeated, once per salt; all other rows have one salt. Each fact
+    row meets each of its dimension rows exactly once either way.
 
     ``derived_from`` is a frame the dimension was picked from, with rows at least as many and as
     wide: if it is small, the dimension is, and need not be computed to be measured.
@@ -48,7 +57,12 @@ def attach(
         size = measured_bytes(dim)
     if size <= max_bytes:
         return facts.join(F.broadcast(dim), on, "left")
-    salts = salt_count(facts, size)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    repeated = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*on, "_salt"], "left").drop("_salt")
+    hot = hot_keys(facts, on)
+    if not hot:
+        return facts.join(dim, on, "left")
+    salts = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.xxhash64(*on).isin(hot)
+    salt = F.when(is_hot, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")).otherwise(0)
+    each = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    repeated = dim.withColumn("_salt", F.explode(each))
+    return facts.withColumn("_salt", salt).join(repeated, [*on, "_salt"], "left").drop("_salt")

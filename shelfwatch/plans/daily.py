@@ -6,6 +6,7 @@ import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shelfwatch.operators import lifecycle, manifest
 from shelfwatch.operators.contract import Limits
@@ -97,6 +98,6 @@ def run_day(
     history.prune_active(spark, places.at("history"))
     expired = lifecycle.drop_expired(spark, fact, today, keep_days)
     archived = lifecycle.archive(
-        spark, landing.landed_path(prices), places.at("archive"), today, keep_days, "file_day"
+        spark, landing.landed_path(prices), places.at("archive"), today, keep_days, "file_day", F.col("batch")
     )
     return DayResult(landed, enriched, observed, published, expired, archived)

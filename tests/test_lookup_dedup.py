@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from shelfwatch.operators import dedup, manifest
 from shelfwatch.operators.coverage import missing_days
-from shelfwatch.operators.lookup import attach, measured_bytes
+from shelfwatch.operators.lookup import attach, hot_keys, measured_bytes
 from shelfwatch.plans.enrich import join_chain, store_dimension
 from tests.conftest import day, rows, stamp
 
@@ -25,6 +25,25 @@ def test_salted_lookup_equals_broadcast(spark):
     assert "_salt" in plan and "BroadcastHash" in small._jdf.queryExecution().sparkPlan().toString()
 
 
+def test_only_measured_hot_keys_are_repeated(spark):
+    facts = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).cast("long").alias("k"), F.lit("c").alias("c"))
+    hashed = facts.filter("k = 1").select(F.xxhash64("k", "c").alias("h")).first().h
+    assert hot_keys(facts, ["k", "c"]) == [hashed]
+    dim = spark.range(20_000).select(F.col("id").alias("k"), F.lit("c").alias("c"), F.concat(F.lit("n"), "id").alias("name"))
+    joined = attach(facts, dim, ["k", "c"], ["id"], max_bytes=0)
+    assert joined.filter("name = concat('n', k)").count() == joined.filter("k < 20000").count() and joined.count() == 30_000
+    # The hot key's rows lie in several join partitions, and so in several tasks.
+    salted = joined.filter("k = 1").select(F.spark_partition_id().alias("p"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plain = attach(facts, dim.filter("k > 1"), ["k", "c"], ["id"], max_bytes=0).filter("k = 1")
+        assert plain.select(F.spark_partition_id().alias("p")).distinct().count() > 4
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert salted.count() == 10_001  # and the row of its own number
+    assert hot_keys(facts.filter("k != 1"), ["k"]) == [] and hot_keys(facts.limit(0), ["k"]) == []
+
+
 def test_salted_lookup_keeps_repeated_dimension_rows(spark):
     facts = hot_facts(spark)
     dim = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k long, name string")
