@@ -435,6 +435,21 @@ def ingest_bad_files(spark, sf):
     return status.join(rows, "file_name", "left")
 
 
+@query
+def unknown_tags(spark, sf):
+    """Price documents with two tags that nobody declared, on some of their items."""
+    inbox, landed = (fresh_dir(spark, n) for n in ("inbox", "prices"))
+    prices = fixtures.documents(spark, sf, bad=False)
+    more = [
+        F.when(F.col("allowdiscount") == "1", F.col("itemprice")).alias("PriceBefore"),
+        F.when(F.col("itemstatus") == "R", F.array(F.lit("a"), F.lit("b"))).alias("ReturnReason"),
+    ]
+    _deliver(spark, prices.select(*PRICE_TAGS.split(), *more, "file_name"), inbox, "Items", "Item", compression="gzip")
+    listing = manifest.object_listing(spark, inbox)
+    landing.document_sink(landed)(listing.select("path"), 0)
+    return landing.tag_drift(spark, landed)
+
+
 @query
 def page_links(spark, sf):
     return links.page_links(

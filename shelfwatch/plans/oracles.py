@@ -177,6 +177,12 @@ damaged AS (
 _REASON = """CASE WHEN event_type = 'error' THEN 'unreadable' WHEN event_type = 'view' THEN 'no_key'
   WHEN event_type = 'signup' THEN 'bad_price' END"""
 
+_DOCUMENTS = """
+documents AS (
+  SELECT CASE WHEN starts_with(file_name, 'PriceFull') THEN 'PriceFull' ELSE 'Price' END || num_reshet || '-' || num_snif
+           || '-199901010300.gz' AS file_name, s_acctbal < 0 AS bad, allowdiscount, itemstatus
+  FROM prices JOIN supplier ON s_suppkey = CAST(num_snif AS BIGINT))"""
+
 _UNESCAPED = "substr(q, 2, length(q) - 2)"
 for _ref, _char in [("&quot;", '"'), ("&#39;", "''"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")]:
     _UNESCAPED = f"replace({_UNESCAPED}, '{_ref}', '{_char}')"
@@ -386,14 +392,11 @@ found AS (
 SELECT 'prices' AS topic, "partition", kind, a AS first_offset, b AS last_offset, b - a + 1 AS n_offsets FROM found""",
     "publish_outbox": _with(PRICES) + "SELECT *, 'prices' AS topic FROM prices",
     "stream_stores": _with(ALL_STORES, STORE_DIM) + "SELECT * EXCLUDE (run_time) FROM store_dim",
-    "ingest_bad_files": _with(
-        PRICES,
-        """
-documents AS (
-  SELECT CASE WHEN starts_with(file_name, 'PriceFull') THEN 'PriceFull' ELSE 'Price' END || num_reshet || '-' || num_snif
-           || '-199901010300.gz' AS file_name, s_acctbal < 0 AS bad
-  FROM prices JOIN supplier ON s_suppkey = CAST(num_snif AS BIGINT))""",
-    )
+    "unknown_tags": _with(PRICES, _DOCUMENTS)
+    + """SELECT file_name, 'pricebefore' AS tag, count(*) AS n_items FROM documents WHERE NOT bad AND allowdiscount = '1' GROUP BY file_name
+         UNION ALL
+         SELECT file_name, 'returnreason', count(*) FROM documents WHERE NOT bad AND itemstatus = 'R' GROUP BY file_name""",
+    "ingest_bad_files": _with(PRICES, _DOCUMENTS)
     + """SELECT file_name, CASE WHEN bad THEN 'not_gzip' END AS reason, CASE WHEN NOT bad THEN count(*) END AS n_rows
          FROM documents GROUP BY file_name, bad""",
     "stream_two_sinks": _with(OBS)

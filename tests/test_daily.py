@@ -222,3 +222,33 @@ def test_a_repeated_store_batch_changes_nothing(spark, folder):
 
 def test_documents_are_gzip(folder):
     assert gzip.decompress(price_document(0, "5")[1]).startswith(b"<Root>")
+
+
+# ---- tags nobody declared -----------------------------------------------------------------------
+
+
+def test_no_tag_is_lost_and_declared_ones_stay(spark, folder):
+    plain = price_document(0, "05.50")
+    odd = price_document(1, "7")
+    more = gzip.decompress(odd[1]).replace(b"</Item>", b"<New>x</New><new>y</new><Deep k='1'><a>1</a></Deep></Item>", 1)
+    put(f"{folder}/in", *plain)
+    put(f"{folder}/in", odd[0], gzip.compress(more))
+    paths = spark.createDataFrame([(f"{folder}/in/{n}",) for n in (plain[0], odd[0])], "path string")
+    landing.document_sink(f"{folder}/out")(paths, 0)
+    assert rows(landing.tag_drift(spark, f"{folder}/out")) == [(odd[0], "deep", 1), (odd[0], "new", 1)]
+    kept = spark.read.parquet(landing.variants_path(f"{folder}/out"))
+    assert kept.count() == 2  # of the one file, its items whole
+    news = kept.select(F.variant_get("item", "$.New", "array<string>").alias("n"), F.variant_get("item", "$.Deep.a", "int").alias("a"))
+    assert sorted((r.n or [], r.a or 0) for r in news.collect()) == [([], 0), (["x", "y"], 1)]
+    landed = spark.read.parquet(landing.landed_path(f"{folder}/out"))
+    assert rows(landed, "itemcode", "itemprice", "n_other_tags")[0] == ("1", "05.50", 0) and landed.count() == 4
+    [met] = outbox.batch_metrics(spark, f"{folder}/out").collect()
+    assert (met.n_rows, met.n_with_other_tags) == (4, 1)
+
+
+def test_without_other_tags_nothing_is_parsed_again(spark, folder):
+    put(f"{folder}/in", *price_document(0, "5"))
+    paths = spark.createDataFrame([(f"{folder}/in/{price_document(0, '')[0]}",)], "path string")
+    landing.document_sink(f"{folder}/out")(paths, 0)
+    assert not os.path.exists(landing.variants_path(f"{folder}/out"))
+    assert landing.tag_drift(spark, f"{folder}/out").count() == 0
