@@ -14,7 +14,7 @@ from shelfwatch.functions.casts import convert_columns, to_whole
 from shelfwatch.operators import asof, coverage, dedup, lifecycle, manifest, messages, quality, scd2
 from shelfwatch.plans import enrich, fixtures, history, ingest
 from shelfwatch.session import fresh_dir, tune
-from shelfwatch.sinks import tables
+from shelfwatch.sinks import compaction, tables
 from shelfwatch.sinks.messages import publish_files
 from shelfwatch.sources import files, links
 from shelfwatch.sources.messages import file_stream
@@ -322,12 +322,25 @@ def archive_partitions(spark, sf):
     )
 
 
+@query
+def compact_files(spark, sf):
+    """Observations in many small files per day, packed, and read by the newest snapshot."""
+    path = fresh_dir(spark, "small")
+    obs = fixtures.observations(spark, sf).drop("value").withColumn("snapshot", F.to_date("file_date"))
+    obs.repartition("num_reshet").write.partitionBy("snapshot", "num_reshet").parquet(path)
+    obs.repartition("itemcode").write.mode("append").partitionBy("snapshot", "num_reshet").parquet(path)
+    compaction.take_snapshot(spark, path)
+    compaction.compact(spark, path, obs.schema, ["snapshot", "num_reshet"])
+    compaction.expire(spark, path)
+    return compaction.read_snapshot(spark, path, obs.schema).groupBy(*obs.columns).agg(F.count("*").alias("n"))
+
+
 @query
 def sink_partitioned_fact(spark, sf):
     """Written twice: the second run replaces its own partitions."""
     path = fresh_dir(spark, "fact")
     fact = enrich.price_fact(
-        fixtures.observation_records(spark, sf).drop("value"), *_some_dimensions(spark, sf)
+        fixtures.observation_records(spark, sf).drop("value"), *fixtures.observed_dimensions(spark, sf)
     )
     for _ in range(2):
         tables.write_partitioned(fact, path, ["snapshot"])
@@ -362,12 +375,12 @@ def external_table_sql(spark, sf):
 
 @query
 def xml_items(spark, sf):
-    """Price items written as gzipped documents, one folder per chain, and parsed back."""
+    """Price items written as gzipped documents of stores, one folder per chain, and parsed back."""
     path = fresh_dir(spark, "items")
-    tags = PRICE_TAGS.split()
-    prices = fixtures.prices(spark, sf, [*tags, "num_reshet"])
+    tags = PRICE_TAGS
+    prices = fixtures.prices(spark, sf, [*tags, "num_reshet", "num_snif"])
     (
-        prices.write.format("xml")
+        prices.repartition("num_reshet", "num_snif").drop("num_snif").write.format("xml")
         .option("rootTag", "Items")
         .option("rowTag", "Item")
         .option("compression", "gzip")
@@ -380,7 +393,7 @@ def xml_items(spark, sf):
 @query
 def xml_stores_utf16(spark, sf):
     path = fresh_dir(spark, "stores")
-    tags = STORE_TAGS.split()
+    tags = STORE_TAGS
     (
         fixtures.stores(spark, sf)
         .select(*tags)
@@ -412,7 +425,7 @@ def stream_stores(spark, sf):
     first = F.col("file_date") < F.lit(LANDED_BEFORE).cast("timestamp")
     for wave in (stores.filter(first), stores.filter(~first)):
         _deliver(
-            spark, wave.select(*STORE_TAGS.split(), "file_name"), inbox, "Stores", "Store",
+            spark, wave.select(*STORE_TAGS, "file_name"), inbox, "Stores", "Store",
             encoding="UTF-16", declaration='version="1.0" encoding="UTF-16"',
         )
         for _ in range(2):  # the second time nothing is new
@@ -424,7 +437,7 @@ def stream_stores(spark, sf):
 def ingest_bad_files(spark, sf):
     """Price documents, one per store and kind, of which some are not gzip: what was landed of each, or why not."""
     inbox, landed, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "prices", "checkpoint"))
-    tags = PRICE_TAGS.split()
+    tags = PRICE_TAGS
     for bad in (False, True):
         prices = fixtures.documents(spark, sf, bad)
         compression = {} if bad else {"compression": "gzip"}
@@ -444,7 +457,7 @@ def unknown_tags(spark, sf):
         F.when(F.col("allowdiscount") == "1", F.col("itemprice")).alias("PriceBefore"),
         F.when(F.col("itemstatus") == "R", F.array(F.lit("a"), F.lit("b"))).alias("ReturnReason"),
     ]
-    _deliver(spark, prices.select(*PRICE_TAGS.split(), *more, "file_name"), inbox, "Items", "Item", compression="gzip")
+    _deliver(spark, prices.select(*PRICE_TAGS, *more, "file_name"), inbox, "Items", "Item", compression="gzip")
     listing = manifest.object_listing(spark, inbox)
     landing.document_sink(landed)(listing.select("path"), 0)
     return landing.tag_drift(spark, landed)
@@ -635,20 +648,22 @@ def stream_incremental(spark, sf):
 
 @query
 def stream_two_sinks(spark, sf):
-    """Two consumers of one log: the fact and the parsed rows, counted per day."""
+    """Two consumers of one log, the fact and the parsed rows, each with all it has taken."""
     fact, parsed = fresh_dir(spark, "fact"), fresh_dir(spark, "parsed")
     sinks = {
-        "fact": landing.fact_sink(RAW_PRICE, *_some_dimensions(spark, sf), fact),
+        "fact": landing.fact_sink(RAW_PRICE, *fixtures.observed_dimensions(spark, sf), fact),
         "parsed": landing.parsed_sink(RAW_PRICE, parsed),
     }
     waves = [_price_log(h) for h in _halves(fixtures.observation_records(spark, sf))]
     _run_waves(spark, waves, sinks)
 
-    def per_day(df: DataFrame, name: str, day: Column) -> DataFrame:
-        return df.groupBy(day.alias("day")).agg(F.count("*").alias("n_rows")).withColumn("consumer", F.lit(name))
+    def taken(path: str, name: str, *more: Column) -> DataFrame:
+        columns = ["file_name", F.col("itemcode").cast("string"), F.col("itemprice").cast("string"), "file_date"]
+        return spark.read.parquet(path).select(F.lit(name).alias("consumer"), *columns, *more)
 
-    return per_day(spark.read.parquet(fact), "fact", F.col("snapshot")).unionByName(
-        per_day(spark.read.parquet(parsed), "parsed", F.to_date("run_time"))
+    none = F.lit(None).cast("string")
+    return taken(fact, "fact", F.col("reshet_name"), F.col("storename")).unionByName(
+        taken(parsed, "parsed", none.alias("reshet_name"), none.alias("storename"))
     )
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfwatch.sources.schemas import PRICE, RAW_PRICE
+from shelfwatch.sources.schemas import PRICE, RAW_PRICE, RAW_STORE
 
 # Chain codes of the observation log, one per event type (fixed values).
 OBS_CHAINS = {
@@ -166,6 +166,22 @@ def stores(spark: SparkSession, sf_dir: str, some: bool = False) -> DataFrame:
     )
 
 
+def observed_dimensions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Chains and stores of the observations: a chain per event type but one, and the one store of each but another."""
+    code = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(n)) for t, n in OBS_CHAINS.items()])
+    kinds = table(spark, sf_dir, "events").select("event_type", code.alias("code")).distinct()
+    chains = kinds.filter("event_type != 'error'").select(F.col("event_type").alias("reshet_name"), F.col("code").alias("reshet_num"))
+    stamp = F.lit("1995-01-01 06:00:00").cast("timestamp")
+    given = {
+        "storeid": F.lit("001"), "storename": F.initcap("event_type"), "city": F.lit("Here"), "zipcode": F.lit("unknown"),
+        "file_name": F.concat(F.lit("Stores"), F.col("code").cast("string"), F.lit("-199501010600.xml")),
+        "num_reshet": F.col("code").cast("string"), "file_date": stamp, "run_time": stamp,
+    }
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in RAW_STORE}
+    stores = kinds.filter("event_type != 'signup'").select(*[(given.get(c) if c in given else m).alias(c) for c, m in missing.items()])
+    return chains, stores
+
+
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price observations: one per event, several per entity and day."""
     chain = F.coalesce(*[F.when(F.col("event_type") == t, F.lit(n)) for t, n in OBS_CHAINS.items()])

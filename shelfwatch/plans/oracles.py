@@ -146,6 +146,15 @@ prices AS (
          CAST(NULL AS VARCHAR) AS allowdiscount, file_name, CAST(num_reshet AS VARCHAR) AS num_reshet,
          CAST(num_snif AS VARCHAR) AS num_snif, file_date, file_date AS run_time FROM obs)"""
 
+# The observations' own chains and stores, of which one each is missing.
+OBS_DIMS = [
+    f"kinds AS (SELECT DISTINCT event_type, CAST(CASE event_type {_CHAIN_CASE} END AS BIGINT) AS code FROM events)",
+    "chains AS (SELECT event_type AS reshet_name, code AS reshet_num FROM kinds WHERE event_type <> 'error')",
+    """
+store_dim AS (SELECT CAST(code AS VARCHAR) AS num_reshet, '001' AS storeid, upper(event_type[1]) || event_type[2:] AS storename,
+                     CAST(NULL AS VARCHAR) AS address, 'Here' AS city, 'unknown' AS zipcode FROM kinds WHERE event_type <> 'signup')""",
+]
+
 HISTORY = [OBS, versions("daily")]
 _ALL_VERSIONS = _with(*HISTORY) + "SELECT * FROM history"
 
@@ -310,12 +319,15 @@ daily AS (
     + """SELECT event_id, itemcode, itemprice, CAST(file_date AS DATE) AS snapshot,
                 CASE WHEN CAST(file_date AS DATE) <= (SELECT CAST(max(file_date) AS DATE) - 7 FROM obs)
                      THEN 'archive' ELSE 'live' END AS place FROM obs""",
-    "sink_partitioned_fact": _with(OBS, RECORDS, CHAINS, STORES, STORE_DIM, FACT) + "SELECT * FROM fact",
+    "compact_files": _with(OBS)
+    + """SELECT event_id, itemcode, itemname, itemprice, file_date, num_reshet, num_snif, file_name, CAST(file_date AS DATE) AS snapshot,
+                2 * count(*) AS n FROM obs GROUP BY ALL""",
+    "sink_partitioned_fact": _with(OBS, RECORDS, *OBS_DIMS, FACT) + "SELECT * FROM fact",
     "external_table_sql": _with(PRICES)
     + f"""SELECT num_reshet, count(*) AS n_prices, count(DISTINCT itemcode) AS n_items,
                  CAST(sum(CAST(itemprice AS {DEC})) AS DECIMAL(28,4)) AS total_price FROM prices GROUP BY num_reshet""",
-    "xml_items": _with(PRICES) + f"SELECT {', '.join(PRICE_TAGS.split())}, num_reshet FROM prices",
-    "xml_stores_utf16": _with(ALL_STORES) + f"SELECT {', '.join(STORE_TAGS.split())} FROM stores",
+    "xml_items": _with(PRICES) + f"SELECT {', '.join(PRICE_TAGS)}, num_reshet FROM prices",
+    "xml_stores_utf16": _with(ALL_STORES) + f"SELECT {', '.join(STORE_TAGS)} FROM stores",
     "page_links": rf"""
 WITH tags AS (SELECT page_id, regexp_extract_all(html, '(?is)<a\s[^>]*>') AS t FROM pages),
 one AS (SELECT page_id, CAST(unnest(range(len(t))) AS INTEGER) AS position, unnest(t) AS tag FROM tags),
@@ -399,9 +411,10 @@ SELECT 'prices' AS topic, "partition", kind, a AS first_offset, b AS last_offset
     "ingest_bad_files": _with(PRICES, _DOCUMENTS)
     + """SELECT file_name, CASE WHEN bad THEN 'not_gzip' END AS reason, CASE WHEN NOT bad THEN count(*) END AS n_rows
          FROM documents GROUP BY file_name, bad""",
-    "stream_two_sinks": _with(OBS)
-    + """SELECT CAST(file_date AS DATE) AS day, count(*) AS n_rows, consumer
-         FROM obs, (VALUES ('fact'), ('parsed')) c(consumer) GROUP BY ALL""",
+    "stream_two_sinks": _with(OBS, RECORDS, *OBS_DIMS, FACT)
+    + """SELECT 'fact' AS consumer, file_name, CAST(itemcode AS VARCHAR) AS itemcode, CAST(itemprice AS VARCHAR) AS itemprice, file_date,
+                reshet_name, storename FROM fact
+         UNION ALL SELECT 'parsed', file_name, itemcode, itemprice, file_date, NULL, NULL FROM prices""",
     "stream_dedup": _with(OBS)
     + """SELECT file_name, CAST(itemcode AS VARCHAR) AS itemcode, CAST(itemprice AS VARCHAR) AS itemprice,
                 CAST(num_reshet AS VARCHAR) AS num_reshet, file_date FROM obs""",

@@ -9,23 +9,37 @@ from pyspark.sql import types as T
 PRICE = T.DecimalType(18, 4)
 
 
-def _strings(names: str) -> list[T.StructField]:
-    return [T.StructField(n, T.StringType()) for n in names.split()]
+def _strings(names: list[str]) -> list[T.StructField]:
+    return [T.StructField(n, T.StringType()) for n in names]
 
 
 _STAMPS = [T.StructField("file_date", T.TimestampType()), T.StructField("run_time", T.TimestampType())]
 
 # Child tags of one price item (fixed values; the reader matches them in any letter case).
-PRICE_TAGS = (
-    "priceupdatedate itemcode itemtype itemname manufacturername manufacturecountry "
-    "manufactureritemdescription unitqty quantity unitofmeasure bisweighted qtyinpackage "
-    "itemprice unitofmeasureprice allowdiscount itemstatus itemid"
-)
+PRICE_TAGS = [
+    "priceupdatedate",
+    "itemcode",
+    "itemtype",
+    "itemname",
+    "manufacturername",
+    "manufacturecountry",
+    "manufactureritemdescription",
+    "unitqty",
+    "quantity",
+    "unitofmeasure",
+    "bisweighted",
+    "qtyinpackage",
+    "itemprice",
+    "unitofmeasureprice",
+    "allowdiscount",
+    "itemstatus",
+    "itemid",
+]
 # Child tags of one store (fixed values).
-STORE_TAGS = "storeid bikoretno storetype storename address city zipcode"
+STORE_TAGS = ["storeid", "bikoretno", "storetype", "storename", "address", "city", "zipcode"]
 
-RAW_PRICE = T.StructType(_strings(PRICE_TAGS + " file_name num_reshet num_snif") + _STAMPS)
-RAW_STORE = T.StructType(_strings(STORE_TAGS + " file_name num_reshet") + _STAMPS)
+RAW_PRICE = T.StructType(_strings([*PRICE_TAGS, "file_name", "num_reshet", "num_snif"]) + _STAMPS)
+RAW_STORE = T.StructType(_strings([*STORE_TAGS, "file_name", "num_reshet"]) + _STAMPS)
 
 CHAIN = T.StructType(
     [

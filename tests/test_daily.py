@@ -252,3 +252,31 @@ def test_without_other_tags_nothing_is_parsed_again(spark, folder):
     landing.document_sink(f"{folder}/out")(paths, 0)
     assert not os.path.exists(landing.variants_path(f"{folder}/out"))
     assert landing.tag_drift(spark, f"{folder}/out").count() == 0
+
+
+# ---- chains and routes --------------------------------------------------------------------------
+
+
+def test_one_inbox_is_routed_and_the_chain_table_is_replaced(spark, folder):
+    inbox = f"{folder}/in"
+    places = daily.Places(inbox, inbox, f"{folder}/tables", f"{folder}/chains.csv")
+    with pytest.raises(ValueError, match="no chain file"):
+        daily.run_day(spark, places, None, dt.date.today())
+
+    def run(name, n):
+        with open(places.chain_file, "w") as f:
+            f.write(f"reshet_name,reshet_num,vendor_website,user_name,password\n{name},7290,x,,\n")
+        put(inbox, *price_document(n, "5"))
+        return daily.run_day(spark, places, None, dt.date.today(), keep_days=36500)
+
+    put(inbox, *store_document(0, [("1", "old")]))
+    assert run("First", 0).landed == 1
+    assert run("Second", 1).landed == 1
+    os.remove(places.chain_file)
+    put(inbox, *price_document(2, "5"))
+    daily.run_day(spark, places, None, dt.date.today(), keep_days=36500)
+    fact = spark.read.parquet(places.at("fact"))
+    assert rows(fact.filter("itemcode = 1"), "file_date", "reshet_name", "address") == [
+        (dt.datetime.combine(day(n), dt.time(3)), name, "old") for n, name in enumerate(["First", "Second", "Second"])
+    ]
+    assert tables.finished_versions(spark, places.at("chains")) == [1, 2]
