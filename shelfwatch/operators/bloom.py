@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwatch.operators.lookup import BROADCAST_BYTES
+from shelfwatch.operators import lookup
 
 BLOCK_BITS = 256
 BITS_PER_NAME = 14
@@ -59,7 +59,7 @@ def merged(filters: DataFrame) -> DataFrame:
 def split(rows: DataFrame, column: str, filter_: DataFrame, blocks: int) -> DataFrame:
     """The rows with ``maybe``: false if the name is surely not in the filter's set."""
     # A filter has no more rows than blocks, of five longs each.
-    filter_ = F.broadcast(filter_) if blocks * ROW_BYTES <= BROADCAST_BYTES else filter_
+    filter_ = F.broadcast(filter_) if blocks * ROW_BYTES <= lookup.BROADCAST_BYTES else filter_
     asked = rows.withColumn("_block", _block(F.col(column), blocks)).join(filter_, "_block", "left")
     every = F.lit(True)
     for name, word in zip(WORDS, _words(F.col(column))):

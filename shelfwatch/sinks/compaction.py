@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfwatch.operators.lookup import BROADCAST_BYTES, measured_bytes
+from shelfwatch.operators import lookup
 from shelfwatch.sinks.tables import (
     current_version,
     delete_path,
@@ -114,7 +114,7 @@ def compact(spark: SparkSession, root: str, schema: T.StructType, partitioned_by
         delete_path(spark, work)
         return version
     of_file = groups.select(F.col("path").alias("_path"), F.col("group").alias("_group"))
-    of_file = F.broadcast(of_file) if measured_bytes(of_file) <= BROADCAST_BYTES else of_file
+    of_file = F.broadcast(of_file) if lookup.measured_bytes(of_file) <= lookup.BROADCAST_BYTES else of_file
     rows = _rows(spark, root, schema, groups).withColumn("_path", F.col("_metadata.file_path")).join(of_file, "_path")
     rows = rows.drop("_path", *partitioned_by)
     rows.repartition("_group").write.partitionBy("_group").parquet(f"{work}/rows")

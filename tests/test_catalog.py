@@ -1,3 +1,6 @@
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as entry
@@ -17,6 +20,13 @@ def test_every_query_has_its_sql():
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
+@pytest.mark.parametrize("missing", ["public_tokenizers", "numpy", "xxhash", "shelfwatch.llm"])
+def test_entry_without_an_optional_package(missing):
+    code = f"import sys; sys.modules[{missing!r}] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, cwd=entry.__file__.rsplit("/", 1)[0])
+    assert done.stdout.split() == [str(len(QUERIES)), str(len(ORACLES))], done.stderr
+
+
 def test_flagship(spark):
     df = entry.entry(spark)
     assert len(df.columns) == 28 and df.count() == 6000
