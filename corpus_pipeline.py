@@ -22,12 +22,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def reject_bad(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the scorer finds bad or toxic go."""
+    """Documents that the scorer finds bad or toxic go. Null and empty texts stay, repeated rows are judged each."""
     return quality.keep_good(docs, _table(spark, sf_dir, "labels"))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated blocks of lines go, and with them documents of which nothing is left."""
+    """Repeated blocks of lines go, and with them documents of which nothing is left.
+
+    Null and empty texts stay. Rows that repeat id and text are one occurrence, each of which gets the other columns of
+    one of them; rows of one id, or none, and different texts are documents of their own.
+    """
     send_package(spark)
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     # Written before it is filtered: a filter pushed into the operator would work out every line's hash again per chunk.
@@ -39,51 +43,60 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select(*(columns[c].alias(c) for c in docs.columns))
 
 
-# A row is known by its id, which may be null or repeated, and its text.
-KEY = "_row_key"
+def _key_of(docs: DataFrame) -> str:
+    """A name that the documents have no column of. A row is known by its id, which may be null or repeated, and its text."""
+    name = "_row_key"
+    while name in docs.columns:
+        name += "_"
+    return name
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
+def _keyed(docs: DataFrame, key: str) -> DataFrame:
+    return docs.withColumn(key, F.xxhash64("doc_id", "text"))
 
 
-def _without(docs: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+def _without(docs: DataFrame, keys: DataFrame, key: str, name: str) -> DataFrame:
     """The rows of `docs`, which has keys, whose key is none of those."""
-    return docs.join(small(saved(keys.select(KEY).distinct(), name)), KEY, "left_anti")
+    return docs.join(small(saved(keys.select(key).distinct(), name)), key, "left_anti")
 
 
-def _one_of_equal(docs: DataFrame, ids: DataFrame) -> DataFrame:
+def _one_of_equal(docs: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     """Rows that repeat id and text once. Only the texts of those that do are shuffled."""
-    again = saved(ids.filter("n > 1").select(KEY), "repeated-rows")
+    again = saved(ids.filter("n > 1").select(key), "repeated-rows")
     if again.isEmpty():
         return docs
     again = small(again)
-    return docs.join(again, KEY, "left_anti").unionByName(docs.join(again, KEY, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return docs.join(again, key, "left_anti").unionByName(docs.join(again, key, "left_semi").dropDuplicates(["doc_id", "text"]))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links join, the one of the smallest id stays, of a null id before all; of equal rows, one."""
+    """Of documents that links join, the one of the smallest id stays, of a null id before all; of equal rows, one.
+
+    Null and empty texts link with nothing and stay.
+    """
     send_package(spark)
-    keyed = _keyed(docs)
-    ids = saved(keyed.groupBy(KEY).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "row-keys")
-    once = _one_of_equal(keyed, ids)
-    found = jaccard_join.jaccard_components(once.select(KEY, "text"), id_col=KEY)
-    found = saved(found.select(F.col("doc_id").alias(KEY), "component_id").distinct().join(small(ids), KEY), "components")
-    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", KEY)).alias("first"))
-    first = saved(first.select(F.col("first").getField(KEY).alias(KEY)), "first-rows")
-    return _without(once, found.join(small(first), KEY, "left_anti"), "copies").select(docs.columns)
+    key = _key_of(docs)
+    keyed = _keyed(docs, key)
+    ids = saved(keyed.groupBy(key).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n")), "row-keys")
+    once = _one_of_equal(keyed, ids, key)
+    found = jaccard_join.jaccard_components(once.select(key, "text"), id_col=key)
+    found = saved(found.select(F.col("doc_id").alias(key), "component_id").distinct().join(small(ids), key), "components")
+    first = found.groupBy("component_id").agg(F.min(F.struct("doc_id", key)).alias("first"))
+    first = saved(first.select(F.col("first").getField(key).alias(key)), "first-rows")
+    return _without(once, found.join(small(first), key, "left_anti"), key, "copies").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold benchmark passages to the limit or beyond go."""
-    keyed = _keyed(docs)
-    found = decontaminate.decontaminate(keyed.select(F.col(KEY).alias("doc_id"), "text"), _table(spark, sf_dir, "benchmark"))
-    gone = found.filter("contaminated").select(F.col("doc_id").alias(KEY))
-    return _without(keyed, gone, "contaminated").select(docs.columns)
+    """Documents that hold benchmark passages to the limit or beyond go. Null and empty texts hold none."""
+    key = _key_of(docs)
+    keyed = _keyed(docs, key)
+    found = decontaminate.decontaminate(keyed.select(F.col(key).alias("doc_id"), "text"), _table(spark, sf_dir, "benchmark"))
+    gone = found.filter("contaminated").select(F.col("doc_id").alias(key))
+    return _without(keyed, gone, key, "contaminated").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents as pieces in training sequences."""
+    """The documents as pieces in training sequences; of a null or empty text, the closing id alone."""
     send_package(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), length=2048)
 
