@@ -25,9 +25,11 @@ with a null component if alone); columns other than the id and the text are igno
 
 from __future__ import annotations
 
+import contextlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwatch.llm.components import components
@@ -43,10 +45,12 @@ DELETABLE = 0.06
 COMMON = 0.005
 COMMON_KEPT = 100_000
 # Sketches have a 64-bit word for so many shingles, at most so many words; always a power of two.
-SHINGLES_PER_WORD = 16
-SKETCH_WORDS = 32
+SHINGLES_PER_WORD = 32
+SKETCH_WORDS = 1024
 # The keys of the first of the last rounds: one in so many.
 FIRST_KEYS = 16
+# Pairs whose sets are compared at a time: together a bounded number of times the longest text.
+PAIRS_AT_ONCE = 200
 EDGES = [1, 2, 3, 4]
 while EDGES[-1] < 2**40:
     EDGES.append(int(EDGES[-1] * BAND_RATIO))
@@ -352,6 +356,18 @@ def _set_rows(ngram: int):
     return rows
 
 
+@contextlib.contextmanager
+def rows_at_a_time(spark: SparkSession, rows: int):
+    """Lets Python tasks that are started meanwhile get no more rows at a time; two sets of very long texts are large."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Join:
     """The rounds of verification over one table of documents."""
 
@@ -411,7 +427,8 @@ class Join:
         a = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
         b = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
         both = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "b", "set_a", "set_b")
-        return saved(both.mapInArrow(_verify(self.percent), "a long, b long").distinct(), "verified")
+        with rows_at_a_time(pairs.sparkSession, PAIRS_AT_ONCE):
+            return saved(both.mapInArrow(_verify(self.percent), "a long, b long").distinct(), "verified")
 
     def components(self) -> DataFrame:
         members = self.members()

@@ -95,6 +95,14 @@ def test_odd_rows_pass_every_stage(spark):
         assert stage(spark, empty, TINY).count() == 0
 
 
+def test_a_column_of_the_keys_name_stays(spark):
+    text = " ".join(prose(300, 200))
+    docs = docs_of(spark, [text, text, " ".join(prose(301, 200))]).withColumns({"_row_key": F.lit(5), "_row_key_": F.lit("x")})
+    for stage in (corpus_pipeline.drop_near_copies, corpus_pipeline.drop_contaminated):
+        docs = stage(spark, docs, TINY)
+        assert sorted((r.doc_id, r._row_key, r._row_key_) for r in docs.collect()) == [(0, 5, "x"), (2, 5, "x")]
+
+
 def test_rows_are_judged_by_id_and_text(spark):
     clean, copy = [" ".join(prose(k, 300)) for k in (201, 202)]
     passage = max((r.text for r in spark.read.parquet(f"{TINY}/benchmark.parquet").collect()), key=len)
