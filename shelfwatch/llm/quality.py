@@ -311,10 +311,24 @@ class Sample:
         # Rows that repeat an id don't raise the bound.
         parts = [found.filter(k).orderBy("doc_id", "hash").limit(training_rows).toArrow() for k in ("known", "NOT known AND size(features) > 0")]
         table = pa.concat_tables(parts if parts[0].num_rows else parts[:1])
+        del parts
         self.ids, self.hash, self.quality, self.toxic = (table.column(c).to_numpy() for c in ("doc_id", "hash", "quality", "toxic"))
-        lists = table.column("features").combine_chunks()
-        self.row = np.repeat(np.arange(len(lists), dtype=np.int32), np.diff(lists.offsets.to_numpy()))
-        self.bucket = lists.values.to_numpy()[lists.offsets[0].as_py() :] if len(lists) else np.zeros(0, np.int32)
+        # The narrowest types and no second copy: this is what takes most of the driver's memory.
+        chunks = table.column("features").chunks
+        sizes = np.concatenate([np.zeros(0, np.int64), *(c.value_lengths().to_numpy() for c in chunks)]).astype(np.int64)
+        kind = np.uint16 if len(sizes) <= 1 << 16 else np.int32
+        self.row = np.repeat(np.arange(len(sizes), dtype=kind), sizes)
+        self.bucket = np.concatenate([np.zeros(0, np.int32), *(c.flatten().to_numpy() for c in chunks)])
+
+    def placed(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and places of the features that have one."""
+        rows, places = [self.row[:0]], [place[:0]]
+        for at in range(0, len(self.row), FEATURES_AT_ONCE):
+            found = place[self.bucket[at : at + FEATURES_AT_ONCE]]
+            some = found >= 0
+            rows.append(self.row[at : at + FEATURES_AT_ONCE][some])
+            places.append(found[some])
+        return np.concatenate(rows), np.concatenate(places)
 
     def association(self, votes: np.ndarray) -> np.ndarray:
         """Per bucket, how many deviations more often rows voted bad have it."""
@@ -379,11 +393,9 @@ class Model:
             strength = np.abs(sample.association(np.select([target >= SURE, target <= 1 - SURE], [BAD, GOOD], NONE)))
             chosen = np.sort(np.argsort(-strength, kind="stable")[:FEATURES])
             chosen = chosen[strength[chosen] > 4]
-            place = np.full(BUCKETS, -1, np.int32)
+            place = np.full(BUCKETS, -1, np.int16 if FEATURES <= 1 << 15 else np.int32)
             place[chosen] = np.arange(len(chosen))
-            column = place[sample.bucket]
-            some = column >= 0
-            fitted = train(sample.row[some], column[some], target, len(chosen))
+            fitted = train(*sample.placed(place), target, len(chosen))
             weight = np.zeros(BUCKETS)
             weight[chosen] = fitted[:-1]
             out.append((weight, fitted[-1]))
