@@ -31,7 +31,7 @@ from shelfwatch.llm.tables import saved
 CLOSING_ID = 0
 GROUP_PIECES = 40_000
 REGROUPINGS = 2
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 300_000
 # New words that the tokenizer reads as one text, and in one call.
 WORDS_AT_ONCE = 100
 NEW_AT_ONCE = 100_000
