@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfwatch.operators.contract import BrokenContract, Limits, Measured
 from shelfwatch.operators.messages import progress
-from shelfwatch.plans import daily
+from shelfwatch.plans import catalog, daily
 from shelfwatch.sinks import tables
 from shelfwatch.sources.schemas import RAW_STORE
 from shelfwatch.streaming import landing, outbox
@@ -280,3 +280,28 @@ def test_one_inbox_is_routed_and_the_chain_table_is_replaced(spark, folder):
         (dt.datetime.combine(day(n), dt.time(3)), name, "old") for n, name in enumerate(["First", "Second", "Second"])
     ]
     assert tables.finished_versions(spark, places.at("chains")) == [1, 2]
+
+
+def test_no_task_of_a_publication_holds_more_than_its_parts(spark, folder, monkeypatch):
+    """Messages were dealt by the session's number of partitions, however many parts there were."""
+    monkeypatch.setattr(outbox, "ROWS_PER_PART", 10)
+    rows_ = [r for s in range(30) for r in sent(0, str(s), 20)]
+    outbox.publish(spark.createDataFrame(rows_, PRICE_ROW), "prices", f"{folder}/log", 0, BY, ORDER)
+    found = spark.read.parquet(f"{folder}/log").withColumn("file", F.col("_metadata.file_name"))
+    assert found.count() == 600
+    # As many rows as a few parts have, in files of which each is a task's.
+    assert found.groupBy("file").count().agg(F.max("count")).first()[0] <= 60
+
+
+def test_messages_are_read_back_by_many_tasks(spark, monkeypatch):
+    """They were shuffled by log partition, four in all."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        found = catalog.QUERIES["publish_outbox"](spark, "/root/testdata/sf0.001")
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "rightHint=(strategy=broadcast)" in plan
+        assert found.count() == 6000
+    finally:
+        spark.conf.set(limit, before)
