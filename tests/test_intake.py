@@ -103,3 +103,14 @@ def test_what_was_planned_and_lost_is_done_again(spark, folder):
     # A filter that was lost, or never written, is made from the names.
     delete_path(spark, f"{folder}/filter")
     assert intake.unseen(listing(spark, names(1, 2, 3, 4)), folder).count() == 1
+
+
+def test_asking_a_filter_hashes_a_name_once_per_purpose(spark):
+    """The condition held the name's words, each with six hashes, twice."""
+    inside = spark.range(1000).select(F.concat(F.lit("f"), "id").alias("path"))
+    blocks = bloom.blocks_for(1000)
+    asked = bloom.split(inside, "path", bloom.filter_of(inside, "path", blocks), blocks).filter("maybe")
+    assert asked.count() == 1000
+    plan = asked._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Aggregate")]  # what is asked, not how the filter is made
+    assert above.count("xxhash64") <= 6, above[:3000]
