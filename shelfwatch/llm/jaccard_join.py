@@ -26,6 +26,7 @@ with a null component if alone); columns other than the id and the text are igno
 from __future__ import annotations
 
 import contextlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +45,13 @@ DELETABLE = 0.06
 # A shingle is common if so large a part of a batch's documents has it, and of all; at most so many are told apart.
 COMMON = 0.005
 COMMON_KEPT = 100_000
-# Sketches have a 64-bit word for so many shingles, at most so many words; always a power of two.
+# Sketches have a 64-bit word for so many shingles, at most so many words; always a power of two. Folded to the least
+# number of words they are columns of their own, which pairs are compared by first.
 SHINGLES_PER_WORD = 32
 SKETCH_WORDS = 1024
+NARROW_WORDS = 8
+# So many of the keys with the most pairs give a pair once among them; others give none that these have given.
+LARGE_KEYS = 256
 # The keys of the first of the last rounds: one in so many.
 FIRST_KEYS = 16
 # Pairs whose sets are compared at a time: together a bounded number of times the longest text.
@@ -92,7 +97,7 @@ class Sets:
 
     def sketches(self) -> pa.ListArray:
         """Per document the parity of how many of its shingles fall on each bit."""
-        words = np.ceil(np.log2(np.clip(self.size / SHINGLES_PER_WORD, 1, SKETCH_WORDS))).astype(np.int64)
+        words = np.ceil(np.log2(np.clip(self.size / SHINGLES_PER_WORD, NARROW_WORDS, SKETCH_WORDS))).astype(np.int64)
         words = np.left_shift(1, words)
         base = np.concatenate([[0], np.cumsum(64 * words)])
         bit = (mix(self.mixed ^ np.uint64(0x0DD)) & (64 * words[self.doc] - 1).astype(np.uint64)).astype(np.int64)
@@ -101,6 +106,18 @@ class Sets:
         return pa.ListArray.from_arrays((base // 64).astype(np.int32), packed)
 
 
+def narrow(sketch: Column) -> list[Column]:
+    """The sketch folded to the least number of words."""
+    parts = F.transform(F.sequence(F.lit(0), (F.size(sketch) / NARROW_WORDS).cast("int") - 1), lambda i: F.slice(sketch, i * NARROW_WORDS + 1, NARROW_WORDS))
+    folded = F.aggregate(parts, F.array_repeat(F.lit(0).cast("long"), NARROW_WORDS), lambda a, b: F.zip_with(a, b, lambda x, y: x.bitwiseXOR(y)))
+    return [folded[i].alias(f"narrow_{i}") for i in range(NARROW_WORDS)]
+
+
+def few_apart(apart: Column, size_x: Column, size_y: Column, percent: int) -> Column:
+    """Whether sets of these sizes may link with so many differences."""
+    return (100 + percent) * apart <= (100 - percent) * (size_x + size_y)
+
+
 def may_link(x: Column, y: Column, size_x: Column, size_y: Column, percent: int) -> Column:
     """Whether the sketches allow so few differences that the sets may link. Exact in what it rules out."""
 
@@ -112,7 +129,7 @@ def may_link(x: Column, y: Column, size_x: Column, size_y: Column, percent: int)
     apart = F.aggregate(
         F.zip_with(folded(x, y), folded(y, x), lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda n, k: n + k
     )
-    return (100 + percent) * apart <= (100 - percent) * (size_x + size_y)
+    return few_apart(apart, size_x, size_y, percent)
 
 
 def band_of(size: np.ndarray) -> np.ndarray:
@@ -380,7 +397,8 @@ class Join:
         named = sizes.join(same, ["size", "d1", "d2"], "left")
         self.sizes = saved(named.select("doc_id", "size", F.coalesce("set_id", "doc_id").alias("set_id")), "sizes")
         sketched = stats.filter("kind = 0 AND size > 0").join(same.withColumnRenamed("set_id", "doc_id"), ["doc_id", "size", "d1", "d2"], "left_semi")
-        self.sketches = saved(sketched.select(F.col("doc_id").alias("set_id"), "size", "sketch").distinct(), "sketches")
+        sketched = sketched.select(F.col("doc_id").alias("set_id"), "size", "sketch").distinct()
+        self.sketches = saved(sketched.select("*", *narrow(F.col("sketch"))), "sketches")
         self.plan = spark.sparkContext.broadcast((self._common(stats), self._attempts(stats)))
 
     def _common(self, stats: DataFrame) -> np.ndarray:
@@ -409,14 +427,25 @@ class Join:
             pairs.join(one, "x").join(two, "y").filter(F.col("a") != F.col("b"))
             .groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("n").alias("n"))
         )
-        one = self.sketches.toDF("a", "size_a", "sketch_a")
-        two = self.sketches.toDF("b", "size_b", "sketch_b")
-        return sets.join(one, "a").join(two, "b").filter(self.fits("")).select("a", "b", "n").dropDuplicates(["a", "b"])
-
-    def fits(self, prefix: str) -> Column:
-        size_a, size_b, a, b = (F.col(f"{prefix}{c}") for c in ("size_a", "size_b", "sketch_a", "sketch_b"))
+        return self.fitting(sets).select("a", "b", "n").dropDuplicates(["a", "b"])
+
+    def fitting(self, pairs: DataFrame) -> DataFrame:
+        """The pairs of sets whose whole sketches allow a link."""
+        one = self.sketches.select(F.col("set_id").alias("a"), *self.seen("a"), F.col("sketch").alias("sketch_a"))
+        two = self.sketches.select(F.col("set_id").alias("b"), *self.seen("b"), F.col("sketch").alias("sketch_b"))
+        whole = may_link(F.col("sketch_a"), F.col("sketch_b"), F.col("size_a"), F.col("size_b"), self.percent)
+        return pairs.join(one, "a").join(two, "b").filter(F.when(self.fits(), whole).otherwise(False))
+
+    def seen(self, side: str) -> list[Column]:
+        """Of the sketches, the columns that the first comparison needs, named by side."""
+        return [F.col(c).alias(f"{c}_{side}") for c in ("size", *(f"narrow_{i}" for i in range(NARROW_WORDS)))]
+
+    def fits(self) -> Column:
+        """Whether sizes and folded sketches allow a link; of built-in parts that are compiled, for very many pairs."""
+        size_a, size_b = F.col("size_a"), F.col("size_b")
         sizes = 100 * F.least(size_a, size_b) >= self.percent * F.greatest(size_a, size_b)
-        return F.when(sizes, may_link(a, b, size_a, size_b, self.percent)).otherwise(False)
+        apart = sum((F.bit_count(F.col(f"narrow_{i}_a").bitwiseXOR(F.col(f"narrow_{i}_b"))) for i in range(NARROW_WORDS)), F.lit(0))
+        return sizes & few_apart(apart, size_a, size_b, self.percent)
 
     def sets_of(self, pairs: DataFrame) -> DataFrame:
         wanted = saved(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "wanted")
@@ -477,6 +506,27 @@ class Join:
         named = named.withColumns({"low": F.min("component").over(whole), "high": F.max("component").over(whole)})
         return saved(named.filter("low != high").drop("low", "high").distinct(), "apart")
 
+    def large_keys(self, searching: DataFrame, others: DataFrame) -> DataFrame:
+        """The keys with the most pairs, numbered from the largest on: key, place."""
+        pairs = searching.groupBy("key").agg(F.countDistinct("set_id").alias("n")).join(others.groupBy("key").agg(F.countDistinct("set_id").alias("of")), "key")
+        top = pairs.filter("n * of > 1").select("key", (F.col("n") * F.col("of")).alias("pairs")).orderBy(F.desc("pairs"), "key").limit(LARGE_KEYS)
+        return saved(top.select("key", (F.row_number().over(Window.orderBy(F.desc("pairs"), "key")) - 1).alias("place")), "large")
+
+    def shifted(self, bits: int, by: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(bits).cast("long"), by.cast("int"))
+
+    def places(self, rows: DataFrame, large: DataFrame, side: str) -> DataFrame:
+        """Per set that is in such keys, which ones, as bits."""
+        bit = lambda i: F.when(F.floor(F.col("place") / 64) == i, self.shifted(1, F.pmod("place", F.lit(64))))
+        marks = [F.bit_or(F.coalesce(bit(i), F.lit(0).cast("long"))).alias(f"large_{i}_{side}") for i in range(LARGE_KEYS // 64)]
+        return rows.join(F.broadcast(large), "key").groupBy("set_id").agg(*marks)
+
+    def below(self, place: Column, word: int) -> Column:
+        """The bits of a word that stand for keys before this place."""
+        all_of, none = F.lit(-1).cast("long"), F.lit(0).cast("long")
+        some = F.bitwise_not(self.shifted(-1, place - 64 * word))
+        return F.when(place >= 64 * (word + 1), all_of).when(place <= 64 * word, none).otherwise(some)
+
     def within_keys(self, mixed: DataFrame, part: int) -> DataFrame:
         """Pairs of different components that one in `part` keys puts together and that may link."""
         searching = mixed.filter("searching > 0")
@@ -493,18 +543,41 @@ class Join:
         searching = searching.join(saved(one, "keys"), "key", "left_semi")
         searching = saved(searching.filter(F.pmod(F.xxhash64("key"), F.lit(part)) == 0), "searching")
         others = mixed.join(searching.select("key").distinct(), "key", "left_semi")
+        # Near copies meet in many keys: whole sketches are compared once a pair.
+        found = self.meetings(searching, others)
+        found = found.select(F.least("set_id_a", "set_id_b").alias("a"), F.greatest("set_id_a", "set_id_b").alias("b")).distinct()
+        return self.fitting(found).select("a", "b")
+
+    def meetings(self, searching: DataFrame, others: DataFrame) -> DataFrame:
+        """Sets of different components that meet in a key and that may link by their folded sketches.
+
+        Of the large keys, only the largest of those that a set searches and the other one is in gives the pair, of
+        keys that are not large none if one of those does.
+        """
+        large = self.large_keys(searching, others)
         # Written, so that both sides of the join below are plain shuffles, of which AQE can split the large ones.
-        columns = ("set_id", "size", "sketch", "component")
         x, y = (
-            saved(rows.select("key", "set_id", "component").distinct().join(self.sketches, "set_id"), "apart").select(
-                "key", *(F.col(c).alias(f"{c}_{side}") for c in columns)
+            saved(
+                rows.select("key", "set_id", "component").distinct().join(self.sketches, "set_id")
+                .join(self.places(rows, large, side), "set_id", "left")
+                .select(
+                    "key", *(F.col(c).alias(f"{c}_{side}") for c in ("set_id", "component")), *self.seen(side),
+                    *(F.coalesce(f"large_{i}_{side}", F.lit(0).cast("long")).alias(f"large_{i}_{side}") for i in range(LARGE_KEYS // 64)),
+                ),
+                "apart",
             )
             for rows, side in ((searching, "a"), (others, "b"))
-        )
+        )
+        x = x.join(F.broadcast(large), "key", "left").withColumn("place", F.coalesce("place", F.lit(LARGE_KEYS)))
+        words = range(LARGE_KEYS // 64)
+        x = x.withColumns({f"large_{i}_a": F.col(f"large_{i}_a").bitwiseAND(self.below(F.col("place"), i)) for i in words}).drop("place")
+        before = [F.col(f"large_{i}_a").bitwiseAND(F.col(f"large_{i}_b")) for i in words]
         found = x.alias("x").join(
-            y.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("component_a") != F.col("component_b")) & self.fits("")
-        )
-        return found.select(F.least("set_id_a", "set_id_b").alias("a"), F.greatest("set_id_a", "set_id_b").alias("b")).distinct()
+            y.alias("y"),
+            (F.col("x.key") == F.col("y.key")) & (F.col("component_a") != F.col("component_b"))
+            & (reduce(Column.bitwiseOR, before) == 0) & self.fits(),
+        )
+        return found.select("set_id_a", "set_id_b")
 
 
 def jaccard_components(docs: DataFrame, ngram: int = 5, percent: int = 75, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -129,6 +129,31 @@ def test_sketches_never_rule_out_a_link(spark):
     assert few > 100
 
 
+def test_a_pair_is_compared_in_one_of_the_large_keys(spark, monkeypatch):
+    """Sets that share a passage and do not link met in every key of it, hundreds of times a pair."""
+    passage = prose(3, 90)
+    texts = [" ".join(passage + prose(700 + k, 17 + k % 3)) for k in range(80)]
+    met, real = [], jaccard_join.Join.meetings
+
+    def meetings(*args):
+        found = real(*args).localCheckpoint()
+        met.append((found.count(), found.distinct().count()))
+        return found
+
+    monkeypatch.setattr(jaccard_join.Join, "meetings", meetings)
+    monkeypatch.setattr(jaccard_join.Join, "fits", lambda self: F.lit(True))
+    check(spark, texts)
+    assert max(met)[0] > 1000 and all(n == different for n, different in met)
+
+
+def test_bits_below_a_place(spark):
+    join = object.__new__(jaccard_join.Join)
+    n = jaccard_join.LARGE_KEYS // 64
+    df = spark.range(jaccard_join.LARGE_KEYS + 1).withColumnRenamed("id", "place")
+    for r in df.select("place", *(join.below(F.col("place"), i) for i in range(n))).collect():
+        assert sum((x % 2**64) << (64 * i) for i, x in enumerate(r[1:])) == (1 << r.place) - 1
+
+
 def test_empty_repeated_null_ids_and_clashing_columns(spark):
     assert jaccard_components(docs_of(spark, [])).count() == 0
     text = " ".join(prose(1, 20))
