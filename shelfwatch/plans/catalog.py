@@ -378,8 +378,8 @@ def external_table_sql(spark, sf):
 def xml_items(spark, sf):
     """Price items written as gzipped documents of stores, one folder per chain, and parsed back.
 
-    An item is one line: blanks between its tags are a third of the characters to write, pack and parse. The level of
-    gzip is the fastest, which makes a file a third larger and takes a fifth of the time to pack.
+    An item is one line: blanks between its tags are about a fifth of the characters to write, pack and parse. The level of
+    gzip is the fastest, which makes a file a third larger and takes a quarter of the time to pack.
     """
     path = fresh_dir(spark, "items")
     tags = PRICE_TAGS
