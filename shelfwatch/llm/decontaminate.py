@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from shelfwatch.llm.tables import saved
 from shelfwatch.llm.words import NOT_ALNUM, Words, combine, count_words, mix, runs, signed, text_blocks, words_of
+from shelfwatch.llm.workers import tidy
 
 SHINGLE = 4
 WINDOWS_PER_BLOCK = 500_000
@@ -40,6 +41,7 @@ def _width(k: int) -> int:
 def _item_windows(window: int):
     """Per window of each item: its two hashes, its length, and the shingles it holds by offset."""
 
+    @tidy
     def rows(batches):
         for batch in batches:
             ids = batch.column("item_id")
@@ -69,6 +71,7 @@ def _item_windows(window: int):
 def _shingles_found(wanted, widths):
     """Counts of the wanted shingles (sorted) in each batch of documents, per shingle width."""
 
+    @tidy
     def rows(batches):
         known = wanted.value
         total = np.zeros(len(known), np.int64)
@@ -89,6 +92,7 @@ def _shingles_found(wanted, widths):
 def _find(index):
     """Per document with a window of the block: its hit words as [from, to) pairs, and the windows found."""
 
+    @tidy
     def rows(batches):
         block = index.value
         for batch in batches:
@@ -164,6 +168,7 @@ def _window_hash(hashes: np.ndarray, place: np.ndarray, k: int) -> np.ndarray:
         width *= 2
 
 
+@tidy
 def _count(batches):
     for batch in batches:
         n = [count_words(t, NOT_ALNUM, lower=True) for _, texts in text_blocks(batch) for t in texts]
@@ -172,6 +177,7 @@ def _count(batches):
         )
 
 
+@tidy
 def _merge(batches):
     """The hit words of each document as spans that don't touch."""
     for batch in batches:

@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from shelfwatch.llm.components import components
 from shelfwatch.llm.tables import saved, small
 from shelfwatch.llm.words import SPACE, combine, mix, runs, signed, text_blocks, words_of
+from shelfwatch.llm.workers import tidy
 
 NO_ID = -(2**63)
 BAND_RATIO = 1.6
@@ -224,6 +225,7 @@ def _bands_searched(size: np.ndarray, percent: int):
 def _statistics(ngram: int, percent: int):
     """Per document its set's size, digests, and how often its bands' segments must be doubled; common shingles."""
 
+    @tidy
     def rows(batches):
         for batch in batches:
             for begin, texts in text_blocks(batch):
@@ -266,6 +268,7 @@ def _keys(ngram: int, percent: int, plan):
     searching: in how many such keys it meets at least whatever it links with; 0 for what is only indexed.
     """
 
+    @tidy
     def rows(batches):
         common_sorted, attempts = plan.value
         done: set[tuple[int, int]] = set()
@@ -314,6 +317,7 @@ def _key_rows(seen: Segments, sets: Sets, ids, exact, near, shared, index: bool)
     yield batch(group, seen.sum[group], seen.held[group], 1, True)
 
 
+@tidy
 def _members(batches):
     """Of rows in order of key, searching members first: those of groups with two members or more, and the first one.
 
@@ -347,6 +351,7 @@ def _members(batches):
 
 
 def _verify(percent: int):
+    @tidy
     def rows(batches):
         for batch in batches:
             linked = []
@@ -361,6 +366,7 @@ def _verify(percent: int):
 
 
 def _set_rows(ngram: int):
+    @tidy
     def rows(batches):
         for batch in batches:
             for begin, texts in text_blocks(batch):

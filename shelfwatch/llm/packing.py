@@ -14,7 +14,6 @@ columns other than the id and the text are ignored.
 
 from __future__ import annotations
 
-import functools
 import os
 import zlib
 from collections import defaultdict
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwatch.llm.tables import saved
+from shelfwatch.llm.workers import kept, let_go, tidy
 
 CLOSING_ID = 0
 GROUP_PIECES = 40_000
@@ -34,7 +34,7 @@ REGROUPINGS = 2
 WORDS_KEPT = 1_000_000
 # New words that the tokenizer reads as one text, and in one call.
 WORDS_AT_ONCE = 100
-NEW_AT_ONCE = 100_000
+NEW_AT_ONCE = 10_000
 BLOCK_CHARS = 4_000_000
 # Search effort per group: bins looked at in a step, and bins in a row that nothing can be done for.
 BINS_LOOKED_AT = 300
@@ -44,7 +44,6 @@ FUTILE_BINS = 30
 # ---- tokens -------------------------------------------------------------------------------------------------------
 
 
-@functools.cache
 def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks already use every core
     from tokenizers import Tokenizer
@@ -60,10 +59,9 @@ class WordIds(dict):
         self.tokenizer = _tokenizer(path)
 
     @classmethod
-    @functools.cache
     def shared(cls, path: str) -> WordIds:
-        """The one of this Python worker, which serves many tasks."""
-        return cls(path)
+        """The one of this Python worker, which serves many tasks, until another operator's come."""
+        return kept((cls, path), lambda: cls(path))
 
     def of(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
@@ -104,6 +102,7 @@ def _blocks(texts):
 
 
 def _piece_rows(path: str, length: int, with_ids: bool):
+    @tidy
     def rows(batches):
         known = WordIds.shared(path)
         for batch in batches:
@@ -266,7 +265,9 @@ def _packed_rows(length: int, round_number: int, last: bool):
             .append_column("again", pa.array(np.repeat(again, counts)))
         )
 
+    @tidy
     def rows(batches):
+        let_go()
         held, n, group = [], 0, 0
         task = TaskContext.get().partitionId()
 

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from shelfwatch.llm.tables import saved, small
 from shelfwatch.llm.words import NOT_ALNUM, SPACE, combine, mix, text_blocks, words_of
+from shelfwatch.llm.workers import tidy
 
 # The bound of each training sample: annotated rows, and others.
 TRAINING_ROWS = 10_000
@@ -249,6 +250,7 @@ def train(rows: np.ndarray, columns: np.ndarray, target: np.ndarray, width: int,
 # ---- over Spark ---------------------------------------------------------------------------------------------------
 
 
+@tidy
 def _sample_features(batches):
     for batch in batches:
         for begin, texts in text_blocks(batch):
@@ -261,6 +263,7 @@ def _sample_features(batches):
 
 
 def _vote_rows(lexicon):
+    @tidy
     def rows(batches):
         for batch in batches:
             for begin, texts in text_blocks(batch):
@@ -405,7 +408,7 @@ class Model:
         if self.weights is None:
             return self._by_votes()
         docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        return docs.mapInArrow(_scores(self.spark.sparkContext.broadcast(self.weights)), "doc_id long, p_bad double, p_toxic double")
+        return docs.mapInArrow(tidy(_scores(self.spark.sparkContext.broadcast(self.weights))), "doc_id long, p_bad double, p_toxic double")
 
     def _by_votes(self) -> DataFrame:
         out = self.votes.select("doc_id", (F.col("quality_votes") * 3).alias("q"), (F.col("toxicity_votes") * 3).alias("t"))
@@ -431,6 +434,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, limit: float = 0.5) -> DataFra
         return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_gone"]), "left_anti")
     weights = docs.sparkSession.sparkContext.broadcast(model.weights)
 
+    @tidy
     def kept(batches):
         score = _scores(weights)
         for batch in batches:

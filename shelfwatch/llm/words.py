@@ -13,6 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
+from shelfwatch.llm.workers import let_go
+
 BLOCK_BYTES = 4 << 20
 LONG_WORD = 64
 
@@ -125,6 +127,7 @@ def runs(hashes: np.ndarray, k: int) -> np.ndarray:
 
 def text_blocks(batch: pa.RecordBatch, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[tuple[int, list[bytes]]]:
     """Runs of the batch's texts as bytes, each of `limit` bytes or a single longer text; null is empty."""
+    let_go()
     texts = batch.column(column).cast(pa.large_binary())
     begin, size, out = 0, 0, []
     for i in range(batch.num_rows):
